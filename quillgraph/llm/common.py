@@ -98,11 +98,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of lower-case UTF-8 data, with each word's first and last-but-one byte position.
+def word_hashes(data: bytes, prefix: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of lower-case UTF-8 data, with the positions of each word's first byte and behind its last.
 
     A word is a run of letters, digits and characters beyond ASCII. The hash is polynomial in the word's bytes, taken
-    from prefix sums, so that no Python code runs per word.
+    from prefix sums, so that no Python code runs per word. prefix: of each word only so many bytes are hashed.
     """
     b = np.frombuffer(data, dtype=np.uint8)
     inside = _WORD[b]
@@ -114,7 +114,8 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sums = np.empty(len(b) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start]), start, end
+    last = np.minimum(end, start + prefix) if prefix else end
+    return mix((sums[last] - sums[start]) * down[start]), start, end
 
 
 WORD_SQL = "[^0-9a-z\\x{80}-\\x{10FFFF}]+"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgraph.llm import harmonic, license_scan, topk, vptree
+from quillgraph.llm import harmonic, license_scan, pieces, token_pack, topk, toxicity, vptree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +19,22 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_pack.pack_tokens(table(spark, sf_dir, "documents"))
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_ann_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vptree.ann(vectors, vectors)
@@ -33,7 +45,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op4_harmonic_packing, op9_ann_vptree, op10_exact_topk)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_token_packing, op4_harmonic_packing, op5_piece_encoding, op6_toxicity, op9_ann_vptree, op10_exact_topk)}
 
 _TOPK_SQL = """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
