@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgraph.llm import harmonic, license_scan, pieces, token_pack, topk, toxicity, vptree
+from quillgraph.llm import harmonic, license_scan, line_dedup, pieces, token_pack, topk, toxicity, vptree, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.duplicate_lines(table(spark, sf_dir, "documents")).drop("tie")
+
+
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages are written as archives, the record of every 97th page is damaged, and the archives are read again."""
+    return warc.read(warc.write_archives(table(spark, sf_dir, "pages"), damage_every=97))
+
+
 def op9_ann_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vptree.ann(vectors, vectors)
@@ -45,7 +54,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_token_packing, op4_harmonic_packing, op5_piece_encoding, op6_toxicity, op9_ann_vptree, op10_exact_topk)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_token_packing, op4_harmonic_packing, op5_piece_encoding, op6_toxicity, op7_line_dedup, op8_warc_salvage, op9_ann_vptree, op10_exact_topk)}
 
 _TOPK_SQL = """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -57,5 +66,6 @@ SELECT query_id, CAST(rank AS INT) AS rank, neighbor_id, score FROM r WHERE rank
 SQL: dict[str, str] = {
     "op1_license_scan": license_scan.sql(),
     "op4_harmonic_packing": harmonic.SQL.format(docs="documents"),
+    "op7_line_dedup": line_dedup.SQL.format(docs="documents"),
     "op10_exact_topk": _TOPK_SQL,
 }
