@@ -215,7 +215,7 @@ def candidate_pairs(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
             lo = 0
             sizes = np.cumsum([len(x) for x in lines])
             while lo < len(lines):
-                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + (8 << 20))))
+                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + (2 << 20))))
                 b, blocks = zip(*_blocks(lines[lo:hi], k, buckets))
                 yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
                 lo = hi
