@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgraph.llm import harmonic, license_scan, line_dedup, pieces, token_pack, topk, toxicity, vptree, warc
+from quillgraph.llm import harmonic, license_scan, line_dedup, ngram_join, pieces, token_pack, topk, toxicity, vptree, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_pack.pack_tokens(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.pack(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_token_packing, op4_harmonic_packing, op5_piece_encoding, op6_toxicity, op7_line_dedup, op8_warc_salvage, op9_ann_vptree, op10_exact_topk)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_token_packing, op3_ngram_jaccard_join, op4_harmonic_packing, op5_piece_encoding, op6_toxicity, op7_line_dedup, op8_warc_salvage, op9_ann_vptree, op10_exact_topk)}
 
 _TOPK_SQL = """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -65,6 +69,7 @@ SELECT query_id, CAST(rank AS INT) AS rank, neighbor_id, score FROM r WHERE rank
 
 SQL: dict[str, str] = {
     "op1_license_scan": license_scan.sql(),
+    "op3_ngram_jaccard_join": ngram_join.sql(),
     "op4_harmonic_packing": harmonic.SQL.format(docs="documents"),
     "op7_line_dedup": line_dedup.SQL.format(docs="documents"),
     "op10_exact_topk": _TOPK_SQL,
