@@ -13,7 +13,7 @@ Only hashes are shuffled, in packed blocks; texts only of lines that are in a ca
 
 Defined results: a line is a part of a text between \n; distance counts UTF-8 bytes; lines of fewer than MIN_BYTES bytes are never
 duplicates; NULL texts have no lines and stay as they are; rows with the same doc_id and text are treated alike and count as one; a NULL
-doc_id comes after all others; a document whose lines all are duplicates is dropped by dedup_lines(), a document without lines to lose is
+doc_id comes after all others; a document whose lines all occurred before is dropped by dedup_lines(), one without lines to lose is
 not touched; an empty table gives an empty result; further columns are kept by dedup_lines() and ignored otherwise.
 """
 
@@ -263,40 +263,49 @@ def near_pairs(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> D
     return both.select("a", "b", "left", "right").mapInArrow(verify, "a long, b long, distance int")
 
 
-def duplicate_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(doc_id, tie, line, kept_doc_id, kept_line, distance): every line that goes, with the first line that it is a duplicate of."""
+def marked_lines(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
+    """Every line that occurred before or is near an earlier one, with that line; short ones only if equal."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "tie")
-    lines = written(lines_of(docs, min_bytes).select("doc_id", "tie", "line", "h").distinct(), "lines")
+    lines = written(lines_of(docs, 1).select("doc_id", "tie", "line", "h", (F.octet_length("text") < min_bytes).alias("short")).distinct(), "lines")
     near = near_pairs(docs, k, min_bytes)
     ways = written(near.select("a", "b", "distance").union(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance")), "near-lines")
     ends = ways.select(F.col("a").alias("h")).distinct()
     small = ways.count() <= BROADCAST_LINES
     first = lines.join(F.broadcast(ends) if small else ends, "h", "left_semi").groupBy("h").agg(F.min(place).alias("first"))
     best = ways.join(first.select(F.col("h").alias("b"), "first"), "b").groupBy("a").agg(F.min(F.struct("first", "distance")).alias("near")).withColumnRenamed("a", "h")
-    window = Window.partitionBy("h")
-    here = lines.withColumn("place", place).withColumn("same", F.min("place").over(window))
+    here = lines.withColumn("place", place).withColumn("same", F.min("place").over(Window.partitionBy("h")))
     found = here.join(F.broadcast(best) if small else best, "h", "left")
     by_near = F.col("near").isNotNull() & (F.col("near.first") < F.col("same"))
     return found.where(by_near | (F.col("place") > F.col("same"))).select(
         "doc_id",
         "tie",
         "line",
+        "short",
         F.when(by_near, F.col("near.first.doc_id")).otherwise(F.col("same.doc_id")).alias("kept_doc_id"),
         F.when(by_near, F.col("near.first.line")).otherwise(F.col("same.line")).alias("kept_line"),
         F.when(by_near, F.col("near.distance")).otherwise(0).cast("int").alias("distance"),
     )
 
 
+def duplicate_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """(doc_id, tie, line, kept_doc_id, kept_line, distance): every line that goes, with the first line that it is a duplicate of."""
+    return marked_lines(docs, k, min_bytes).where(~F.col("short")).drop("short")
+
+
 def dedup_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """docs without their duplicate lines and without documents that have lost all lines; n_chars, if there, is counted anew."""
-    gone = duplicate_lines(docs, k, min_bytes).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("gone"))
+    """docs without their duplicate lines; n_chars, if there, is counted anew. A document goes if it loses lines and every line that it
+    would keep is short and occurred before, so that copies don't stay as scraps."""
+    gone = marked_lines(docs, k, min_bytes).groupBy("doc_id", "tie").agg(F.collect_set(F.when(~F.col("short"), F.col("line"))).alias("__gone"), F.countDistinct("line").alias("__seen"))
+    gone = gone.where(F.size("__gone") > 0).select(F.col("doc_id").alias("__gone_id"), F.col("tie").alias("__gone_tie"), "__gone", "__seen")
     keyed = docs.withColumns({"__tie": F.xxhash64("text"), "__id": F.col("doc_id").cast("long")})
-    joined = keyed.join(gone.select(F.col("doc_id").alias("__gone_id"), F.col("tie").alias("__gone_tie"), F.col("gone").alias("__gone")), F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__tie") == F.col("__gone_tie")), "left")
-    left = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i))
-    out = joined.withColumn("__left", F.when(F.col("__gone").isNotNull(), left)).where(F.col("__left").isNull() | (F.size("__left") > 0))
-    out = out.withColumn("text", F.when(F.col("__left").isNull(), F.col("text")).otherwise(F.array_join("__left", "\n")))
+    joined = keyed.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__tie") == F.col("__gone_tie")), "left")
+    hit = F.col("__gone").isNotNull()
+    lines = F.split("text", "\n")
+    out = joined.where(~hit | (F.size(F.filter(lines, lambda x: F.octet_length(x) > 0)) > F.col("__seen")))
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
+    out = out.withColumn("text", F.when(hit, left).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__left").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
