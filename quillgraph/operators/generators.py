@@ -16,7 +16,9 @@ def _work() -> Column:
 
 
 def works(records: DataFrame, with_index: bool = False) -> DataFrame:
-    base = records.withColumns({"__title": clean_text("title"), "__abstract": F.coalesce(clean_text(invert_abstract("abstract_inverted_index")), F.lit(""))})
+    # a Python function can't be planned over a lambda expression, so a generator of one row stands between them
+    base = records.select("*", F.explode(F.array(invert_abstract("abstract_inverted_index"))).alias("__raw"))
+    base = base.withColumns({"__title": clean_text("title"), "__abstract": clean_text("__raw")})
     place, access = "primary_location", "open_access"
     out = base.select(
         _work(),
