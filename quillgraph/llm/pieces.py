@@ -229,6 +229,10 @@ class Encoder:
             missing = new
         self.learn(list(missing))
 
+    def prepare_chunks(self, texts: list[str], sizes: list[int]) -> None:
+        places = [self.free(t, n) for t, n in zip(texts, sizes)]
+        self.prepare([t[p[0] : p[1]] for t, p in zip(texts, places) if p and p[1] > p[0]])
+
     def units(self, text: str) -> tuple[bytes, int]:
         """Best path of a text that begins with a space, or is empty: (ids as int32, score)."""
         if not text:
@@ -244,11 +248,14 @@ class Encoder:
     @staticmethod
     def free(text: str, n: int) -> tuple[int, int] | None:
         """First and last place up to n (its own begin left out) where a run of spaces begins."""
-        first = re.search(r"(?<=[^ ]) ", text[: n + 1])
-        if not first:
+        found = re.search(r"[^ ] ", text[: n + 1])
+        if not found:
             return None
-        last = max(m.start() for m in re.finditer(r"(?<=[^ ]) ", text[max(0, n - 4096) : n + 1])) + max(0, n - 4096) if re.search(r"(?<=[^ ]) ", text[max(0, n - 4096) : n + 1]) else [m.start() for m in re.finditer(r"(?<=[^ ]) ", text[: n + 1])][-1]
-        return first.start(), last
+        last = n + 1
+        while True:  # the last space up to n that stands behind another character
+            last = text.rfind(" ", 0, last)
+            if text[last - 1] != " ":
+                return found.start() + 1, last
 
     def transfer(self, text: str, n: int) -> np.ndarray:
         """Scores from every state at 0 to every state at n; text goes on behind n by less than a piece."""
@@ -330,6 +337,15 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 ROWS = 512
+AT_ONCE = 1 << 21
+_CHUNKS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("chunk", pa.int32()), ("n", pa.int32()), ("text", pa.string()), ("matrix", pa.binary())])
+
+
+def _matrices(e: Encoder, held: list[tuple]) -> pa.RecordBatch:
+    """Chunks with their transfer matrices; their words are learned together."""
+    e.prepare_chunks([x[4] for x in held], [x[3] for x in held])
+    columns = [*zip(*held), [e.transfer(x[4], x[3]).tobytes() for x in held]]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _CHUNKS.types)], names=_CHUNKS.names)
 
 
 def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
@@ -355,13 +371,18 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = Encoder(model_.value)
+        held: list[tuple] = []
         for batch in batches:
             for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
                 text = " " + text
                 for k, at in enumerate(range(0, len(text), chunk)):
                     n = min(chunk, len(text) - at)
-                    t = text[at : at + n + e.p.longest - 1]
-                    yield pa.RecordBatch.from_pydict({"row": [row], "doc_id": [doc_id], "chunk": [k], "n": [n], "text": [t], "matrix": [e.transfer(t, n).tobytes()]}, schema=pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("chunk", pa.int32()), ("n", pa.int32()), ("text", pa.string()), ("matrix", pa.binary())]))
+                    held.append((row, doc_id, k, n, text[at : at + n + e.p.longest - 1]))
+                if len(held) * chunk >= AT_ONCE:
+                    yield _matrices(e, held)
+                    held = []
+        if held:
+            yield _matrices(e, held)
 
     def states(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
@@ -371,11 +392,14 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = Encoder(model_.value)
         for batch in batches:
-            rows = []
-            for doc_id, k, n, text, i, j in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "chunk", "n", "text", "i", "j"))):
-                ids, score = e.trace(text, n, i, j)
-                rows.append((doc_id, k, k * chunk + i, score, ids, e.p.decode(ids) == text[i : n + j]))
-            if rows:
+            for lo in range(0, batch.num_rows, max(1, AT_ONCE // chunk)):
+                part = batch.slice(lo, max(1, AT_ONCE // chunk))
+                texts, sizes = part.column("text").to_pylist(), part.column("n").to_pylist()
+                e.prepare_chunks(texts, sizes)
+                rows = []
+                for doc_id, k, n, text, i, j in zip(part.column("doc_id").to_pylist(), part.column("chunk").to_pylist(), sizes, texts, part.column("i").to_pylist(), part.column("j").to_pylist()):
+                    ids, score = e.trace(text, n, i, j)
+                    rows.append((doc_id, k, k * chunk + i, score, ids, e.p.decode(ids) == text[i : n + j]))
                 yield _batch(rows)
 
     whole = source.where(F.length("text") < chunk).mapInArrow(short, SCHEMA)
