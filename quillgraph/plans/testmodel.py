@@ -123,7 +123,7 @@ CTE: dict[str, str] = {
       o_orderpriority = '1-URGENT' AS is_corresponding, {_DAY.format('l_shipdate')} AS snapshot_date
       FROM (SELECT *, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS last FROM lineitem) JOIN orders ON l_orderkey = o_orderkey""",
     "authorships": """SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY work_id, author_id ORDER BY snapshot_date DESC NULLS LAST, is_corresponding DESC NULLS LAST,
-      CASE author_position WHEN 'first' THEN 1 WHEN 'last' THEN 2 WHEN 'middle' THEN 3 ELSE 4 END, author_position NULLS LAST, author_sequence NULLS LAST) AS n FROM authorships_raw) WHERE n = 1""",
+      coalesce(list_position(['first', 'last', 'middle'], author_position), 4), author_position NULLS LAST, author_sequence NULLS LAST) AS n FROM authorships_raw) WHERE n = 1""",
     "affiliations": """SELECT work_id, author_id, institution_id, max(snapshot_date) AS snapshot_date FROM authorships_raw
       JOIN (SELECT 'A' || c_custkey AS author_id, 'I' || c_nationkey AS institution_id FROM customer) USING (author_id) GROUP BY ALL""",
     "institutions": "SELECT 'I' || n_nationkey AS institution_id, n_name AS institution_name FROM nation",
