@@ -64,6 +64,30 @@ def fitting_partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _murmur(k: int) -> int:
+    """Spark's hash of one int (Murmur3, seed 42), unsigned."""
+    m = 0xFFFFFFFF
+    k = k * 0xCC9E2D51 & m
+    k = (k << 15 | k >> 17) & m
+    h = 42 ^ (k * 0x1B873593 & m)
+    h = ((h << 13 | h >> 19) & m) * 5 + 0xE6546B64 & m
+    h ^= 4
+    h = (h ^ h >> 16) * 0x85EBCA6B & m
+    h = (h ^ h >> 13) * 0xC2B2AE35 & m
+    return h ^ h >> 16
+
+
+def bucket_keys(buckets: int) -> list[int]:
+    """For every bucket an int that repartition(buckets, key) sends to a partition of its own: bucket numbers themselves would share some and leave others empty."""
+    keys: dict[int, int] = {}
+    k = 0
+    while len(keys) < buckets:
+        h = _murmur(k)
+        keys.setdefault((h - (1 << 32) if h >> 31 else h) % buckets, k)
+        k += 1
+    return [keys[b] for b in range(buckets)]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64, in place."""
     h ^= h >> np.uint64(30)

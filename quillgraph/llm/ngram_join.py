@@ -9,7 +9,8 @@ Documents with equal sets form a class and are handled as one.
    the s - ceil(t*s) + 1 rarest; n-grams of the class alone take the first places of that prefix. Most classes have no other ones and are done.
 3. By n-gram of the prefix, classes that could be partners meet (prefix and length filter). They are not paired here: each class has a home, its
    least shared n-gram, and joins a cell for each pair of homes that met. Near copies mostly have the same home, so a group of them fills a
-   few cells, and a class is sent to few places, however large the group.
+   few cells, and a class is sent to few places, however large the group. A cell of more than CELL classes is cut into blocks, and each pair of blocks is a cell of its own,
+   so the largest groups spread over many tasks.
 4. In each cell the T-occurrence search runs: for each query the longest lists are set aside, the short ones are merged by a heap, and those
    candidates that could still reach the required overlap are looked up in the long ones by binary search (DivideSkip).
 
@@ -31,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import fitting_partitions, mix, word_hashes, written
+from quillgraph.llm.common import bucket_keys, fitting_partitions, mix, word_hashes, written
 
 N = 4
 THRESHOLD = 0.45
 BLOCK_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
 HEAP_MOST = 512
+CELL = 512
 _FACTORS = mix(np.arange(101, 133, dtype=np.uint64)) | np.uint64(1)
 _EPS = 1e-9
 
@@ -119,8 +121,10 @@ _BLOCK = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.b
 MEMBERS, ENTRIES = 0, 1
 
 
-def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BLOCK.types)], names=_BLOCK.names)
+def _rows(rows: list[tuple[int, int, bytes]], places: list[int] | None = None) -> pa.RecordBatch:
+    """places: what stands for each bucket in the table (see bucket_keys)."""
+    bucket, kind, block = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array([places[b] for b in bucket] if places else bucket, pa.int32()), pa.array(kind, pa.int32()), pa.array(block, pa.binary())], names=_BLOCK.names)
 
 
 def class_buckets(owner: np.ndarray, buckets: int) -> np.ndarray:
@@ -295,11 +299,12 @@ def divide_skip(lists: list[np.ndarray], least: int, weight: float = 0.01) -> tu
     return records[keep], counts[keep]
 
 
-def search_cell(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, t: float) -> Iterator[tuple[int, int, float]]:
-    """Step 4: pairs of records (i < j) of a cell with their similarity; side: 0 and 1 in a cell of two homes, all 0 in a cell of one."""
-    two = bool(side.any()) and not side.all()
+def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.ndarray, t: float) -> Iterator[tuple[int, int, float]]:
+    """Step 4: pairs of records (i < j) of a cell with their similarity; two: only those of different sides."""
+    if two and (side.all() or not side.any()):
+        return
     if len(sets) == 2:
-        pairs = [(0, 1, len(np.intersect1d(sets[0], sets[1], assume_unique=True)))] if not two or side[0] != side[1] else []
+        pairs = [(0, 1, len(np.intersect1d(sets[0], sets[1], assume_unique=True)))]
     else:
         gram = np.concatenate(sets)
         record = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -333,6 +338,7 @@ RESULT = "doc_ids array<long>, match_ids array<long>, jaccard double"
 def classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
     """Steps 1 and 2; written to the shared folder."""
     buckets = fitting_partitions(docs.sparkSession)
+    places = bucket_keys(buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,7 +349,7 @@ def classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
                 hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + BLOCK_BYTES)))
                 rows = list(map_block(ids[lo:hi], texts[lo:hi], n, buckets))
                 if rows:
-                    yield _rows(rows)
+                    yield _rows(rows, places)
                 lo = hi
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +363,7 @@ def classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
         for b in list(held):
             rows = list(shared_grams(held.pop(b), b, buckets))
             if rows:
-                yield _rows(rows)
+                yield _rows(rows, places)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list[pa.Buffer], list[pa.Buffer]]] = {}
@@ -376,12 +382,13 @@ def classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
 def near_classes(found: DataFrame, t: float = THRESHOLD) -> DataFrame:
     """Steps 3 and 4: pairs of different classes."""
     buckets = fitting_partitions(found.sparkSession)
+    places = bucket_keys(buckets)
     active = found.where("prefix > 0")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
-                yield _rows(list(prefix_blocks(batch.slice(lo, 4096), buckets)))
+                yield _rows(list(prefix_blocks(batch.slice(lo, 4096), buckets)), places)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [block.as_buffer() for batch in batches for block in batch.column("block")]
@@ -390,17 +397,24 @@ def near_classes(found: DataFrame, t: float = THRESHOLD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)], names=["owner", "a", "b"])
 
     def solve(rows: list[dict]) -> list[tuple]:
-        side = np.array([r["home"] == r["b"] and r["a"] != r["b"] for r in rows])
-        out = search_cell([np.sort(np.frombuffer(r["grams"], np.uint64)) for r in rows], np.array([r["size"] for r in rows], np.int64), side, t)
-        return [(rows[i]["docs"], rows[j]["docs"], round(x, 6)) if rows[i]["docs"][0] < rows[j]["docs"][0] else (rows[j]["docs"], rows[i]["docs"], round(x, 6)) for i, j, x in out]
+        first = rows[0]
+        homes, blocks = first["a"] != first["b"], first["i"] != first["j"]
+        home, block = np.array([r["home"] == r["b"] for r in rows]), np.array([r["block"] == first["j"] for r in rows])
+        found = search_cell([np.sort(np.frombuffer(r["grams"], np.uint64)) for r in rows], np.array([r["size"] for r in rows], np.int64), homes or blocks, home if homes else block, t)
+        out = []
+        for i, j, x in found:
+            if not (homes and blocks) or block[i] != block[j]:
+                left, right = sorted((rows[i]["docs"], rows[j]["docs"]), key=lambda d: d[0])
+                out.append((left, right, round(x, 6)))
+        return out
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, rows, out = None, [], []
         for batch in batches:
             for r in batch.to_pylist():
-                if (r["a"], r["b"]) != cell:
+                if (r["a"], r["b"], r["i"], r["j"]) != cell:
                     out += solve(rows) if len(rows) > 1 else []
-                    cell, rows = (r["a"], r["b"]), []
+                    cell, rows = (r["a"], r["b"], r["i"], r["j"]), []
                     if len(out) > 4096:
                         yield _result(out)
                         out = []
@@ -410,9 +424,14 @@ def near_classes(found: DataFrame, t: float = THRESHOLD) -> DataFrame:
             yield _result(out)
 
     blocks = active.select("owner", "size", "home", "grams", "prefix").mapInArrow(emit, "bucket int, kind int, block binary")
-    cells = blocks.repartition(buckets, "bucket").mapInArrow(meet, "owner long, a long, b long").distinct()
+    cells = written(blocks.repartition(buckets, "bucket").mapInArrow(meet, "owner long, a long, b long").distinct(), "ngram-cells")
+    large = cells.groupBy("a", "b").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts")).where("parts > 1")
+    small = large.count() <= BROADCAST_ROWS
+    cells = cells.join(F.broadcast(large) if small else large, ["a", "b"], "left").withColumn("block", F.pmod(F.hash("owner"), F.coalesce("parts", F.lit(1))))
+    other = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    cells = cells.select("owner", "a", "b", "block", other.alias("other")).select("owner", "a", "b", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     full = cells.join(active.select("owner", "size", "home", "docs", "grams"), "owner")
-    return full.repartition(buckets, "a", "b").sortWithinPartitions("a", "b").mapInArrow(search, RESULT)
+    return full.repartition(buckets, "a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j").mapInArrow(search, RESULT)
 
 
 def _result(rows: list[tuple]) -> pa.RecordBatch:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from quillgraph.llm import license_scan, line_dedup, ngram_join
-from quillgraph.llm.common import word_hashes, words_of
+from quillgraph.llm.common import bucket_keys, word_hashes, words_of
 
 MIT = "Released under the MIT License."
 
@@ -20,6 +20,12 @@ def test_word_hashes_are_those_of_words():
     assert p[0] == p[1]
 
 
+def test_bucket_keys_fill_all_partitions(spark):
+    keys = bucket_keys(13)
+    df = spark.createDataFrame([(k, b) for b, k in enumerate(keys)], "k int, b int").repartition(13, "k").selectExpr("b", "spark_partition_id() p")
+    assert {(r.b, r.p) for r in df.collect()} == {(b, b) for b in range(13)}
+
+
 def test_license_scan_against_counting(docs, rows):
     texts = [
         (1, f"text\n{MIT}\nreleased under an MIT license: the one"),
@@ -151,6 +157,14 @@ def test_ngram_join_against_all_pairs(docs, copies):
     assert ngram_join.join(docs([])).count() == 0
 
 
+def test_large_cells_in_blocks(docs, copies, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CELL", 2)
+    rows = ngram_join.join(docs(copies))
+    assert expanded(rows) == brute_pairs(copies)
+    pairs = [(tuple(r.doc_ids), tuple(r.match_ids)) for r in rows.collect()]
+    assert len(pairs) == len(set(pairs))
+
+
 def test_one_of_each_group_stays(docs, copies):
     root = {i: i for i, t in copies if i is not None}
     pairs = brute_pairs(copies)
