@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +42,16 @@ def by_reference(table: DataFrame, key: str, mentions: DataFrame) -> DataFrame:
     return table.join(mentions.select(key), key, "left_semi")
 
 
-def neighbourhood(tables: dict[str, DataFrame], seeds: list[str]) -> dict[str, DataFrame]:
-    """All filtered tables, lazily; filtered_work_ids too."""
-    seeded = seed_scores(tables["scores"], seeds)
-    out = {"citation_edges": filtered_edges(tables["citation_edges"], seeded)}
-    ids = work_ids(seeded, out["citation_edges"])
-    out["work_ids"] = ids
-    out |= {name: by_work(tables[name], ids) for name in ("works", *RELATIONS) if name in tables}
-    return out | {name: by_reference(tables[name], key, out[base]) for name, (key, base) in REFERENCES.items() if name in tables and base in out}
+def neighbourhood(tables: dict[str, DataFrame], seeds: list[str], keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
+    """All filtered tables, with seed_scores and work_ids. keep sees each table once it is defined, in order of use, and may return a stored copy for what builds on it."""
+    seeded = keep("seed_scores", seed_scores(tables["scores"], seeds))
+    edges = keep("citation_edges", filtered_edges(tables["citation_edges"], seeded))
+    ids = keep("work_ids", work_ids(seeded, edges))
+    out = {"seed_scores": seeded, "citation_edges": edges, "work_ids": ids}
+    for name in ("works", *RELATIONS):
+        if name in tables:
+            out[name] = keep(name, by_work(tables[name], ids))
+    for name, (key, base) in REFERENCES.items():
+        if name in tables and base in out:
+            out[name] = keep(name, by_reference(tables[name], key, out[base]))
+    return out

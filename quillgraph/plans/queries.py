@@ -11,6 +11,7 @@ from quillgraph.functions.ids import strip_id
 from quillgraph.functions.text import clean_text, invert_abstract
 from quillgraph.operators import dedup, generators, graph, metrics
 from quillgraph.plans.testmodel import SEEDS, Model, sql
+from quillgraph.scratch import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,8 +28,13 @@ def _model(f: Callable[[Model], DataFrame]) -> Query:
     return lambda spark, sf_dir: f(Model(spark, sf_dir))
 
 
-def _filtered(m: Model) -> dict[str, DataFrame]:
-    return graph.neighbourhood(m.tables(), SEEDS)
+#: What several tables build on; stored, so that it is made once.
+_BASES = {"seed_scores", "citation_edges", "work_ids"}
+_FACTS = _BASES | {"works", "authorships", "affiliations", "scores"}
+
+
+def _filtered(m: Model, stored: set[str] = _BASES) -> dict[str, DataFrame]:
+    return graph.neighbourhood(m.tables(), SEEDS, lambda name, df: written(df, name) if name in stored else df)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -36,10 +42,18 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _per_work(m: Model) -> tuple[dict[str, DataFrame], DataFrame]:
-    t = _filtered(m)
+    t = _filtered(m, _FACTS)
     return t, metrics.works_metrics(t, SEEDS, m.concepts())
 
 
+def _by_entity(build: Callable[[dict[str, DataFrame], DataFrame], DataFrame]) -> Query:
+    def query(m: Model) -> DataFrame:
+        t, per_work = _per_work(m)
+        return _rounded(build(t, written(per_work, "works_metrics")))
+
+    return _model(query)
+
+
 _add("seed_scores", _model(lambda m: graph.seed_scores(m.scores(), SEEDS)), sql("SELECT * FROM seeded"))
 for _t, _name in (("scores", "dedup_scores"), ("authorships", "dedup_authorships"), ("edges", "dedup_edges"), ("affiliations", "dedup_affiliations")):
     _add(_name, _model(lambda m, t=_t: getattr(m, t)()), sql(f"SELECT * FROM {_t}"))
@@ -107,7 +121,7 @@ def _span(facts: str, key: str) -> str:
 _YEARS = "y1 AS first_publication_year, y2 AS last_publication_year"
 _add(
     "authors_metrics",
-    _model(lambda m: _rounded(metrics.authors_metrics(*_per_work(m)))),
+    _by_entity(metrics.authors_metrics),
     sql(f"""SELECT author_id, coalesce(n, 0) AS local_works_count, coalesce(f, 0) AS first_author_count, coalesce(l, 0) AS last_author_count, coalesce(c, 0) AS corresponding_author_count,
       {_YEARS}, y2 - y1 + 1 AS years_active, {_ROLL}
       FROM f_authors LEFT JOIN (SELECT author_id, count(DISTINCT work_id) AS n, count(*) FILTER (WHERE author_position = 'first') AS f, count(*) FILTER (WHERE author_position = 'last') AS l,
@@ -116,7 +130,7 @@ _add(
 )
 _add(
     "sources_metrics",
-    _model(lambda m: _rounded(metrics.sources_metrics(*_per_work(m)))),
+    _by_entity(metrics.sources_metrics),
     sql(f"""SELECT source_id, coalesce(n, 0) AS local_works_count, {_YEARS}, coalesce(o, 0) AS open_access_works_count, coalesce(d, 0) AS retracted_works_count, {_ROLL}
       FROM f_sources LEFT JOIN (SELECT source_id, count(DISTINCT work_id) AS n, min(publication_year) AS y1, max(publication_year) AS y2,
         count(DISTINCT work_id) FILTER (WHERE coalesce(is_open_access, false)) AS o, count(DISTINCT work_id) FILTER (WHERE coalesce(is_retracted, false)) AS d FROM f_works GROUP BY 1) USING (source_id)
@@ -124,7 +138,7 @@ _add(
 )
 _add(
     "institutions_metrics",
-    _model(lambda m: _rounded(metrics.institutions_metrics(*_per_work(m)))),
+    _by_entity(metrics.institutions_metrics),
     sql(f"""SELECT institution_id, coalesce(n, 0) AS local_works_count, coalesce(p, 0) AS local_authors_count, {_YEARS}, {_ROLL}
       FROM f_institutions LEFT JOIN (SELECT institution_id, count(DISTINCT work_id) AS n, count(DISTINCT author_id) AS p FROM f_affiliations GROUP BY 1) USING (institution_id)
       LEFT JOIN {_span('f_affiliations', 'institution_id')} USING (institution_id)
@@ -132,7 +146,7 @@ _add(
 )
 _add(
     "concepts_metrics",
-    _model(lambda m: _rounded(metrics.concepts_metrics(*_per_work(m)))),
+    _by_entity(metrics.concepts_metrics),
     sql(f"""SELECT concept_id, coalesce(n, 0) AS local_works_count, round(coalesce(ca, 0.0), 6) AS mean_concept_score, coalesce(cm, 0.0) AS max_concept_score, {_YEARS}, {_ROLL}
       FROM f_concepts LEFT JOIN (SELECT concept_id, count(DISTINCT work_id) AS n, avg(concept_score) AS ca, max(concept_score) AS cm FROM f_scores GROUP BY 1) USING (concept_id)
       LEFT JOIN {_span('f_scores', 'concept_id')} USING (concept_id) LEFT JOIN {_roll('f_scores', 'concept_id')} USING (concept_id)"""),

@@ -84,16 +84,9 @@ def graph_filtering(spark: SparkSession, settings: Settings) -> None:
         sinks.write_table(df, f"{root}/{name}", settings.parquet_compression)
         return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
-    seeded = stage("seed_scores", graph.seed_scores(read_stored(spark, settings, "tables", "scores"), seeds))
-    edges = stage("citation_edges", graph.filtered_edges(read_stored(spark, settings, "tables", "citation_edges"), seeded))
-    ids = stage("work_ids", graph.work_ids(seeded, edges))
-    kept = {}
-    for name in ("works", *graph.RELATIONS):
-        if name != "selected_scores" or sinks.complete(spark, f"{settings.root('tables')}/{name}"):
-            kept[name] = stage(name, graph.by_work(read_stored(spark, settings, "tables", name), ids))
-    for name, (key, base) in graph.REFERENCES.items():
-        if sinks.complete(spark, f"{settings.root('tables')}/{name}"):
-            stage(name, graph.by_reference(read_stored(spark, settings, "tables", name), key, kept[base]))
+    names = ("scores", "citation_edges", "works", *graph.RELATIONS, *graph.REFERENCES)
+    tables = {name: read_stored(spark, settings, "tables", name) for name in names if sinks.complete(spark, f"{settings.root('tables')}/{name}")}
+    graph.neighbourhood(tables, seeds, stage)
 
 
 def metrics_stage(spark: SparkSession, settings: Settings) -> None:
