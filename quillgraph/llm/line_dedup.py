@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import _power_tables, fitting_partitions, mix, written
+from quillgraph.llm.common import _power_tables, bucket_keys, fitting_partitions, mix, written
 
 EDITS = 2
 MIN_BYTES = 20
@@ -208,6 +208,7 @@ def _blocks(lines: list[bytes], k: int, buckets: int) -> Iterator[tuple[int, byt
 def candidate_pairs(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
     """Distinct pairs (a, b) of hashes of lines that may be near, a < b."""
     buckets = fitting_partitions(docs.sparkSession)
+    places = bucket_keys(buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +218,7 @@ def candidate_pairs(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
             while lo < len(lines):
                 hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + (2 << 20))))
                 b, blocks = zip(*_blocks(lines[lo:hi], k, buckets))
-                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
+                yield pa.RecordBatch.from_arrays([pa.array([places[x] for x in b], pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
                 lo = hi
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,14 +270,15 @@ def marked_lines(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
     lines = written(lines_of(docs, 1).select("doc_id", "tie", "line", "h", (F.octet_length("text") < min_bytes).alias("short")).distinct(), "lines")
     near = near_pairs(docs, k, min_bytes)
     ways = written(near.select("a", "b", "distance").union(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance")), "near-lines")
-    ends = ways.select(F.col("a").alias("h")).distinct()
+    first = lines.groupBy("h").agg(F.min(place).alias("same"), F.count("*").alias("n"))
+    ends = ways.select(F.col("a").alias("b")).distinct()
     small = ways.count() <= BROADCAST_LINES
-    first = lines.join(F.broadcast(ends) if small else ends, "h", "left_semi").groupBy("h").agg(F.min(place).alias("first"))
-    best = ways.join(first.select(F.col("h").alias("b"), "first"), "b").groupBy("a").agg(F.min(F.struct("first", "distance")).alias("near")).withColumnRenamed("a", "h")
-    here = lines.withColumn("place", place).withColumn("same", F.min("place").over(Window.partitionBy("h")))
-    found = here.join(F.broadcast(best) if small else best, "h", "left")
+    first_of = lines.withColumnRenamed("h", "b").join(F.broadcast(ends) if small else ends, "b", "left_semi").groupBy("b").agg(F.min(place).alias("first"))
+    best = ways.join(first_of, "b").groupBy("a").agg(F.min(F.struct("first", "distance")).alias("near")).withColumnRenamed("a", "h")
     by_near = F.col("near").isNotNull() & (F.col("near.first") < F.col("same"))
-    return found.where(by_near | (F.col("place") > F.col("same"))).select(
+    # only lines that occur again or have a near one go on; a line of very many occurrences is aggregated on the map side and its join can be split
+    targets = first.join(F.broadcast(best) if small else best, "h", "left").where((F.col("n") > 1) | by_near)
+    return lines.join(targets, "h").where(by_near | (place > F.col("same"))).select(
         "doc_id",
         "tie",
         "line",
