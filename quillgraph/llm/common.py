@@ -1,63 +1,16 @@
-"""What the corpus operators share: the shared folder, written intermediate tables, word hashing."""
+"""What the corpus operators share: written intermediate tables, buckets, word hashing."""
 
 from __future__ import annotations
 
-import atexit
 import re
-import tempfile
-import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from quillgraph.scratch import written  # noqa: F401  the operators' way to store what they build on
 
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
-_written: list[tuple[object, str]] = []
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where it is unset and the master is local (tests) a folder of this machine is made and set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    root = root or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="quillgraph-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            if spark.sparkContext._jsc is not None:
-                _remove(spark, path)
-        except Exception:  # noqa: BLE001  the session is gone: the cluster's own clean-up removes its folder
-            return
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
-    path = f"{shared_root(spark)}/quillgraph-{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it again: lineage ends there, and a lost executor costs nothing."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fitting_partitions(spark: SparkSession, least: int = 1) -> int:
