@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from quillgraph.llm.topk import DECIMALS, _LISTS, best, dimension, list_batch, matrix, merged, tile_count, tiled, usable
 
-LEAF = 64
+LEAF = 256
+FACTOR = 4.0
 BLOCK = 1024
 _NODE = "b_tile int, b_tile_ids array<long>, b_tile_vecs array<double>, vantage array<int>, radius array<double>"
 
@@ -72,15 +73,26 @@ class Search:
         d2 = self.q2[rows, None] + self.p2[None, lo:hi] - 2 * (self.q[rows] @ self.points[lo:hi].T)
         d = np.sqrt(np.maximum(d2, 0))
         d[self.q_ids[rows, None] == self.ids[None, lo:hi]] = np.inf
-        hit = np.flatnonzero((d <= self.dist[rows, -1][:, None] + 1e-7).any(axis=1))
-        if not len(hit):
+        worst = self.dist[rows, -1] + 1e-9
+        open_ = np.flatnonzero(np.isinf(worst))
+        if len(open_) and d.shape[1] > self.k:
+            worst[open_] = np.partition(d[open_], self.k - 1, axis=1)[:, self.k - 1]
+        r, c = np.nonzero((d <= worst[:, None]) & np.isfinite(d))
+        if not len(r):
             return
-        rows, d = rows[hit], d[hit]
-        all_d = np.concatenate([self.dist[rows], d], axis=1)
-        all_i = np.concatenate([self.near[rows], np.broadcast_to(self.ids[lo:hi], d.shape)], axis=1)
-        pick = np.lexsort((all_i, all_d), axis=1)[:, : self.k]
-        self.dist[rows] = np.take_along_axis(all_d, pick, axis=1)
-        self.near[rows] = np.take_along_axis(all_i, pick, axis=1)
+        hit = np.unique(r)
+        old_row, old_slot = np.nonzero(np.isfinite(self.dist[rows[hit]]))
+        old_row = hit[old_row]
+        row, found, minus = best(
+            np.concatenate([r, old_row]),
+            np.concatenate([self.ids[lo + c], self.near[rows[old_row], old_slot]]),
+            -np.concatenate([d[r, c], self.dist[rows[old_row], old_slot]]),
+            self.k,
+        )
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        slot = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
+        self.dist[rows[row], slot] = -minus
+        self.near[rows[row], slot] = found
 
     def go(self, rows: np.ndarray, node: int, lo: int, hi: int) -> None:
         if not len(rows):
@@ -110,7 +122,7 @@ class Search:
         return self.q_ids[row], found, -np.round(exact, DECIMALS)
 
 
-def ann(queries: DataFrame, base: DataFrame, k: int = 10, factor: float = 1.5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def ann(queries: DataFrame, base: DataFrame, k: int = 10, factor: float = FACTOR, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, neighbor_id, distance) of every query row. Base ids should be unique: of repeated ids the first found row counts."""
     dim = dimension(base, vec_col)
     q, b = usable(queries, id_col, vec_col, dim), usable(base, id_col, vec_col, dim).dropDuplicates(["id"])
