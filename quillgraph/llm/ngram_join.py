@@ -7,7 +7,7 @@ Documents with equal sets form a class and are handled as one.
    how many classes each occurs in. N-grams of a single class can't be shared and end here.
 2. By class, the shared n-grams come back with their frequencies. A partner of a class with s n-grams shares at least ceil(t*s) of them, so one of
    the s - ceil(t*s) + 1 rarest; n-grams of the class alone take the first places of that prefix. Most classes have no other ones and are done.
-3. By n-gram of the prefix, classes that could be partners meet (prefix and length filter). They are not paired here: each class has a home, its
+3. By n-gram of the prefix, classes that could be partners meet (prefix, length and positional filters). They are not paired here: each class has a home, its
    least shared n-gram, and joins a cell for each pair of homes that met. Near copies mostly have the same home, so a group of them fills a
    few cells, and a class is sent to few places, however large the group. A cell of more than CELL classes is cut into blocks, and each pair of blocks is a cell of its own,
    so the largest groups spread over many tasks.
@@ -39,7 +39,8 @@ THRESHOLD = 0.45
 BLOCK_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
 HEAP_MOST = 512
-CELL = 512
+CELL = 1024
+MOST = 65535
 _FACTORS = mix(np.arange(101, 133, dtype=np.uint64)) | np.uint64(1)
 _EPS = 1e-9
 
@@ -74,33 +75,41 @@ def class_hashes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 class Packed:
-    """Blocks of entries that belong to owners: owner hash, size, number of entries; then the entries."""
+    """Blocks of entries that belong to owners: owner hash and number of entries, columns by owner, columns by entry."""
 
     @staticmethod
-    def write(owner: np.ndarray, size: np.ndarray, count: np.ndarray, *entries: np.ndarray) -> bytes:
-        return b"".join([np.array([len(owner), int(count.sum())], np.uint32).tobytes(), owner.astype(np.uint64).tobytes(), size.astype(np.uint32).tobytes(), count.astype(np.uint32).tobytes(), *(np.ascontiguousarray(e).tobytes() for e in entries)])
+    def write(owner: np.ndarray, count: np.ndarray, by_owner: tuple[np.ndarray, ...], *entries: np.ndarray) -> bytes:
+        if len(count) and count.max() > MOST:  # an owner of more entries stands there several times
+            times = -(-count // MOST)
+            last = np.cumsum(times) - 1
+            owner, by_owner = np.repeat(owner, times), tuple(np.repeat(x, times) for x in by_owner)
+            rest = count - (times - 1) * MOST
+            count = np.full(len(owner), MOST)
+            count[last] = rest
+        columns = [np.array([len(owner), int(count.sum())], np.uint32), owner.astype(np.uint64), count.astype(np.uint16), *by_owner, *entries]
+        return b"".join(np.ascontiguousarray(x).tobytes() for x in columns)
 
     @staticmethod
-    def read(raw: pa.Buffer, *types: np.dtype | int) -> tuple[np.ndarray, ...]:
-        """Types of entries: a dtype, or a number of bytes of a shortened uint64."""
+    def read(raw: pa.Buffer, by_owner: tuple, *entries: type | int) -> tuple[np.ndarray, ...]:
+        """(owner, count, columns by owner, columns by entry); a column is given by its type, or by the number of bytes of a shortened uint64."""
         owners, total = np.frombuffer(raw, np.uint32, 2).tolist()
-        at = 8
-        out = []
-        for t in (np.uint64, np.uint32, np.uint32):
-            out.append(np.frombuffer(raw, t, owners, at))
-            at += owners * np.dtype(t).itemsize
-        for t in types:
+        at, out = 8, []
+        for n, t in [(owners, np.uint64), (owners, np.uint16), *((owners, t) for t in by_owner), *((total, t) for t in entries)]:
             if isinstance(t, int):
-                wide = np.zeros((total, 8), np.uint8)
-                wide[:, :t] = np.frombuffer(raw, np.uint8, total * t, at).reshape(-1, t)
-                out.append(wide.view(np.uint64).ravel())
-                at += total * t
+                out.append(widened(np.frombuffer(raw, np.uint8, n * t, at), t))
+                at += n * t
             else:
-                out.append(np.frombuffer(raw, t, total, at))
-                at += total * np.dtype(t).itemsize
+                out.append(np.frombuffer(raw, t, n, at))
+                at += n * np.dtype(t).itemsize
         return tuple(out)
 
 
+def widened(raw: np.ndarray, size: int) -> np.ndarray:
+    wide = np.zeros((len(raw) // size, 8), np.uint8)
+    wide[:, :size] = raw.reshape(-1, size)
+    return wide.view(np.uint64).ravel()
+
+
 def shortened(x: np.ndarray) -> np.ndarray:
     """The lower 6 bytes."""
     return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :6]
@@ -113,6 +122,11 @@ def by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarra
         yield b, order[bounds[b] : bounds[b + 1]]
 
 
+def spread(bucket: int) -> np.uint64:
+    """48 bits that tell equal hashes of different buckets apart."""
+    return mix(np.array([bucket + 1], np.uint64))[0] >> np.uint64(16)
+
+
 def starts(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]]) if len(sorted_values) else np.empty(0, np.int64)
 
@@ -140,18 +154,19 @@ def map_block(ids: np.ndarray, texts: list[str], n: int, buckets: int) -> Iterat
     ids, sets = ids[some], [s for s in sets if len(s)]
     owner = class_hashes(sets)
     for b, rows in by_bucket(class_buckets(owner, buckets), buckets):
-        yield b, MEMBERS, Packed.write(owner[rows], np.array([len(sets[i]) for i in rows]), np.ones(len(rows), np.int64), ids[rows])
+        yield b, MEMBERS, Packed.write(owner[rows], np.ones(len(rows), np.int64), (np.array([len(sets[i]) for i in rows], np.uint32),), ids[rows])
     _, first = np.unique(owner, return_index=True)
     sizes = np.array([len(sets[i]) for i in first])
     grams, local = np.concatenate([sets[i] for i in first]), np.repeat(np.arange(len(first)), sizes)
     for b, rows in by_bucket((grams % np.uint64(buckets)).astype(np.int64), buckets):
         present, count = np.unique(local[rows], return_counts=True)  # rows are in order of local
-        yield b, ENTRIES, Packed.write(owner[first[present]], sizes[present], count, shortened(grams[rows] >> np.uint64(16)))
+        yield b, ENTRIES, Packed.write(owner[first[present]], count, (), shortened(grams[rows] >> np.uint64(16)))
 
 
 def shared_grams(blocks: list[pa.Buffer], bucket: int, buckets: int) -> Iterator[tuple[int, int, bytes]]:
-    """Step 1, reduce side: the n-grams of one bucket that several classes have, by class."""
-    owner, size, count, gram = (np.concatenate(x) for x in zip(*(Packed.read(b, 6) for b in blocks)))
+    """Step 1, reduce side: the n-grams of one bucket that several classes have, by class. From here on an n-gram is its 48 bits; frequencies only order n-grams, so those
+    beyond 16 bits may count as equal."""
+    owner, count, gram = (np.concatenate(x) for x in zip(*(Packed.read(b, (), 6) for b in blocks)))
     row = np.repeat(np.arange(len(owner), dtype=np.int32), count)
     order = np.argsort(gram)
     gram = gram[order]
@@ -161,19 +176,19 @@ def shared_grams(blocks: list[pa.Buffer], bucket: int, buckets: int) -> Iterator
     gram, row = gram[several], row[order[several]]
     who = owner[row]
     order = np.lexsort((who, gram))
-    gram, who, row = gram[order], who[order], row[order]
+    gram, who = gram[order], who[order]
     fresh = np.r_[True, (gram[1:] != gram[:-1]) | (who[1:] != who[:-1])] if len(gram) else np.empty(0, bool)
-    gram, who, row = gram[fresh], who[fresh], row[fresh]
+    gram, who = gram[fresh], who[fresh]
     at = starts(gram)
     lengths = np.diff(np.r_[at, len(gram)])
     df = np.repeat(lengths, lengths)
     keep = df > 1
-    gram, who, row, df = (gram[keep] << np.uint64(16)) | np.uint64(bucket & 0xFFFF), who[keep], row[keep], df[keep]
+    gram, who, df = gram[keep] ^ spread(bucket), who[keep], np.minimum(df[keep], MOST)
     order = np.argsort(who, kind="stable")
-    gram, who, row, df = gram[order], who[order], row[order], df[order]
+    gram, who, df = gram[order], who[order], df[order]
     for b, rows in by_bucket(class_buckets(who, buckets), buckets):
         at = starts(who[rows])
-        yield b, ENTRIES, Packed.write(who[rows[at]], size[row[rows[at]]], np.diff(np.r_[at, len(rows)]), gram[rows], df[rows].astype(np.uint32))
+        yield b, ENTRIES, Packed.write(who[rows[at]], np.diff(np.r_[at, len(rows)]), (), shortened(gram[rows]), df[rows].astype(np.uint16))
 
 
 CLASSES = "owner long, size int, home long, docs array<long>, grams binary, prefix int"
@@ -181,7 +196,7 @@ CLASSES = "owner long, size int, home long, docs array<long>, grams binary, pref
 
 def class_rows(members: list[pa.Buffer], entries: list[pa.Buffer], t: float) -> Iterator[pa.RecordBatch]:
     """Step 2: classes of several documents, and classes whose prefix holds a shared n-gram, with their shared n-grams by frequency."""
-    m_owner, m_size, _, m_doc = (np.concatenate(x) for x in zip(*(Packed.read(b, np.int64) for b in members)))
+    m_owner, _, m_size, m_doc = (np.concatenate(x) for x in zip(*(Packed.read(b, (np.uint32,), np.int64) for b in members)))
     order = np.lexsort((m_doc, m_owner))
     m_owner, m_size, m_doc = m_owner[order], m_size[order], m_doc[order]
     fresh = np.r_[True, (m_owner[1:] != m_owner[:-1]) | (m_doc[1:] != m_doc[:-1])]
@@ -192,7 +207,7 @@ def class_rows(members: list[pa.Buffer], entries: list[pa.Buffer], t: float) ->
     lo = hi = np.zeros(len(owner), np.int64)
     gram = np.empty(0, np.uint64)
     if entries:
-        e_owner, _, count, gram, df = (np.concatenate(x) for x in zip(*(Packed.read(b, np.uint64, np.uint32) for b in entries)))
+        e_owner, count, gram, df = (np.concatenate(x) for x in zip(*(Packed.read(b, (), 6, np.uint16) for b in entries)))
         who = np.repeat(e_owner, count)
         order = np.lexsort((gram, df, who))
         who, gram = who[order], gram[order]
@@ -209,7 +224,7 @@ def class_rows(members: list[pa.Buffer], entries: list[pa.Buffer], t: float) ->
                 pa.array(size[part].astype(np.int32)),
                 pa.array([int(gram[lo[i] : hi[i]].min().view(np.int64)) if a else None for i, a in zip(part, active)], pa.int64()),
                 pa.array([m_doc[begin[i] : end[i]] for i in part], pa.list_(pa.int64())),
-                pa.array([gram[lo[i] : hi[i]].tobytes() if a else None for i, a in zip(part, active)], pa.binary()),
+                pa.array([shortened(gram[lo[i] : hi[i]]).tobytes() if a else None for i, a in zip(part, active)], pa.binary()),
                 pa.array(prefix[part].astype(np.int32)),
             ],
             names=["owner", "size", "home", "docs", "grams", "prefix"],
@@ -217,20 +232,24 @@ def class_rows(members: list[pa.Buffer], entries: list[pa.Buffer], t: float) ->
 
 
 def prefix_blocks(batch: pa.RecordBatch, buckets: int) -> Iterator[tuple[int, int, bytes]]:
-    """Step 3, map side: the prefixes' n-grams by bucket."""
+    """Step 3, map side: the prefixes' n-grams by bucket, each with what a class still can share from it on."""
     owner, size, home, prefix = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("owner", "size", "home", "prefix"))
-    gram = np.concatenate([np.frombuffer(g.as_buffer(), np.uint64, p) for g, p in zip(batch.column("grams"), prefix.tolist())])
+    raw = [g.as_buffer() for g in batch.column("grams")]
+    gram = np.concatenate([widened(np.frombuffer(g, np.uint8, 6 * p), 6) for g, p in zip(raw, prefix.tolist())])
+    left = np.concatenate([g.size // 6 - np.arange(p, dtype=np.uint32) for g, p in zip(raw, prefix.tolist())]).astype(np.uint32)
     row = np.repeat(np.arange(len(owner)), prefix)
-    for b, at in by_bucket(((gram >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64), buckets):
-        r = row[at]
-        yield b, ENTRIES, Packed.write(owner.view(np.uint64)[r], size[r], np.ones(len(r), np.int64), gram[at], home[r])
+    for b, at in by_bucket((gram % np.uint64(buckets)).astype(np.int64), buckets):
+        present, count = np.unique(row[at], return_counts=True)  # at is in order of row
+        yield b, ENTRIES, Packed.write(owner.view(np.uint64)[present], count, (size[present].astype(np.uint32), home[present]), shortened(gram[at]), left[at])
 
 
 def meetings(blocks: list[pa.Buffer], t: float) -> np.ndarray:
     """Step 3, reduce side: rows (owner, home, home) of the cells that a class has to join."""
-    owner, size, _, gram, home = (np.concatenate(x) for x in zip(*(Packed.read(b, np.uint64, np.int64) for b in blocks)))
+    owner, count, size, home, gram, left = (np.concatenate(x) for x in zip(*(Packed.read(b, (np.uint32, np.int64), 6, np.uint32) for b in blocks)))
+    owner, size, home = (np.repeat(x, count) for x in (owner.view(np.int64), size.astype(np.int64), home))
     order = np.lexsort((home, gram))
-    owner, size, gram, home = owner[order].view(np.int64), size[order].astype(np.int64), gram[order], home[order]
+    owner, size, gram, home, left = owner[order], size[order], gram[order], home[order], left[order].astype(np.int64)
+    largest = np.floor(left * (1 + t) / t + _EPS).astype(np.int64) - size  # of a partner whose first shared n-gram this is (positional filter)
     group = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (home[1:] != home[:-1])])  # entries of one n-gram and home
     g_gram, g_home, g_count = gram[group], home[group], np.diff(np.r_[group, len(gram)])
     g_min, g_max = np.minimum.reduceat(size, group), np.maximum.reduceat(size, group)
@@ -249,7 +268,7 @@ def meetings(blocks: list[pa.Buffer], t: float) -> np.ndarray:
         e = np.repeat(entries[lo:hi], fan[entries[lo:hi]])
         u = run[run_of_entry[e]] + np.arange(len(e)) - np.repeat(np.cumsum(fan[entries[lo:hi]]) - fan[entries[lo:hi]], fan[entries[lo:hi]])
         lo = hi
-        good = (g_max[u] >= need(t, size[e])) & (need(t, g_min[u]) <= size[e]) & ((u != own[e]) | (g_count[u] > 1))
+        good = (g_max[u] >= need(t, size[e])) & (need(t, g_min[u]) <= size[e]) & (g_min[u] <= largest[e]) & ((u != own[e]) | (g_count[u] > 1))
         e, u = e[good], u[good]
         found.append(np.unique(np.stack([owner[e], np.minimum(home[e], g_home[u]), np.maximum(home[e], g_home[u])], axis=1), axis=0))
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3), np.int64)
@@ -400,7 +419,7 @@ def near_classes(found: DataFrame, t: float = THRESHOLD) -> DataFrame:
         first = rows[0]
         homes, blocks = first["a"] != first["b"], first["i"] != first["j"]
         home, block = np.array([r["home"] == r["b"] for r in rows]), np.array([r["block"] == first["j"] for r in rows])
-        found = search_cell([np.sort(np.frombuffer(r["grams"], np.uint64)) for r in rows], np.array([r["size"] for r in rows], np.int64), homes or blocks, home if homes else block, t)
+        found = search_cell([np.sort(widened(np.frombuffer(r["grams"], np.uint8), 6)) for r in rows], np.array([r["size"] for r in rows], np.int64), homes or blocks, home if homes else block, t)
         out = []
         for i, j, x in found:
             if not (homes and blocks) or block[i] != block[j]:

@@ -193,3 +193,14 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 102), (101, 102), (200, 201)]
     got = {r.node: r.root for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100, 102: 100, 200: 200, 201: 200}
+
+
+def test_packed_blocks_of_many_entries(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "MOST", 3)
+    owner, count, size, entry = np.array([5, 6, 7], np.uint64), np.array([7, 1, 3]), np.array([1, 2, 3], np.uint32), np.arange(11, dtype=np.uint64) << np.uint64(30)
+    raw = ngram_join.Packed.write(owner, count, (size,), ngram_join.shortened(entry), np.arange(11, dtype=np.uint16))
+    o, c, s, e, n = ngram_join.Packed.read(pa.py_buffer(raw), (np.uint32,), 6, np.uint16)
+    assert o.tolist() == [5, 5, 5, 6, 7] and c.tolist() == [3, 3, 1, 1, 3] and s.tolist() == [1, 1, 1, 2, 3]
+    assert e.tolist() == entry.tolist() and n.tolist() == list(range(11))
