@@ -12,9 +12,10 @@ others, but not by way of a third one: if b is near a and c is near b, c goes be
 Only hashes are shuffled, in packed blocks; texts only of lines that are in a candidate pair.
 
 Defined results: a line is a part of a text between \n; distance counts UTF-8 bytes; lines of fewer than MIN_BYTES bytes are never
-duplicates; NULL texts have no lines and stay as they are; rows with the same doc_id and text are treated alike and count as one; a NULL
-doc_id comes after all others; a document whose lines all occurred before is dropped by dedup_lines(), one without lines to lose is
-not touched; an empty table gives an empty result; further columns are kept by dedup_lines() and ignored otherwise.
+near duplicates, and equal ones go only within one document, by dedup_lines() or with short_repeats; NULL texts have no lines and stay
+as they are; rows with the same doc_id and text are treated alike and count as one; a NULL doc_id comes after all others; a document whose
+lines all occurred before is dropped by dedup_lines(), one without lines to lose is not touched; an empty table gives an empty result;
+further columns are kept by dedup_lines() and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -265,7 +266,8 @@ def near_pairs(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> D
 
 
 def marked_lines(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
-    """Every line that occurred before or is near an earlier one, with that line; short ones only if equal."""
+    """Every line that occurred before or is near an earlier one, with that line; short ones only if equal. home: the first equal line is in
+    the same document."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "tie")
     lines = written(lines_of(docs, 1).select("doc_id", "tie", "line", "h", (F.octet_length("text") < min_bytes).alias("short")).distinct(), "lines")
     near = near_pairs(docs, k, min_bytes)
@@ -282,28 +284,49 @@ def marked_lines(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
         "doc_id",
         "tie",
         "line",
+        "h",
         "short",
+        (F.col("same.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("same.tie") == F.col("tie"))).alias("home"),
         F.when(by_near, F.col("near.first.doc_id")).otherwise(F.col("same.doc_id")).alias("kept_doc_id"),
         F.when(by_near, F.col("near.first.line")).otherwise(F.col("same.line")).alias("kept_line"),
         F.when(by_near, F.col("near.distance")).otherwise(0).cast("int").alias("distance"),
     )
 
 
-def duplicate_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(doc_id, tie, line, kept_doc_id, kept_line, distance): every line that goes, with the first line that it is a duplicate of."""
-    return marked_lines(docs, k, min_bytes).where(~F.col("short")).drop("short")
+def in_documents(marked: DataFrame) -> DataFrame:
+    """(doc_id, tie, h, short, seen, first, gone): marked lines by document and content, with the numbers of those that go. Of equal short
+    lines the document's first one, which is not marked if it is the first of all, stays."""
+    by_line = marked.groupBy("doc_id", "tie", "h", "short", "home").agg(F.array_sort(F.collect_set("line")).alias("at"))
+    stays = F.col("short") & ~F.col("home")
+    return by_line.select("doc_id", "tie", "h", "short", F.size("at").alias("seen"), F.when(stays, F.col("at")[0]).alias("first"), F.when(stays, F.slice("at", 2, F.size("at"))).otherwise(F.col("at")).alias("gone"))
+
+
+def duplicate_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES, short_repeats: bool = False) -> DataFrame:
+    """(doc_id, tie, line, kept_doc_id, kept_line, distance): every line that goes, with the first line that it is a duplicate of. Lines of
+    fewer than min_bytes bytes only with short_repeats: those that are equal to an earlier line of their document, with its first such line."""
+    marked = marked_lines(docs, k, min_bytes)
+    if not short_repeats:
+        return marked.where(~F.col("short")).drop("short", "h", "home")
+    marked = written(marked, "marked-lines")
+    short = marked.where("short")
+    # the first of all is unmarked, but it is the line that the others are marked with
+    at_home = short.where("home").drop("short", "h", "home")
+    away = in_documents(short.where(~F.col("home"))).select("doc_id", "tie", F.explode("gone").alias("line"), F.col("doc_id").alias("kept_doc_id"), F.col("first").alias("kept_line"), F.lit(0).alias("distance"))
+    return marked.where(~F.col("short")).drop("short", "h", "home").union(at_home).union(away)
 
 
 def dedup_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """docs without their duplicate lines; n_chars, if there, is counted anew. A document goes if it loses lines and every line that it
-    would keep is short and occurred before, so that copies don't stay as scraps."""
-    gone = marked_lines(docs, k, min_bytes).groupBy("doc_id", "tie").agg(F.collect_set(F.when(~F.col("short"), F.col("line"))).alias("__gone"), F.countDistinct("line").alias("__seen"))
-    gone = gone.where(F.size("__gone") > 0).select(F.col("doc_id").alias("__gone_id"), F.col("tie").alias("__gone_tie"), "__gone", "__seen")
+    """docs without their duplicate lines, short ones that repeat within their document included; n_chars, if there, is counted anew. A document
+    goes if it loses lines of min_bytes bytes and every line that it would keep is short and occurred before, so that copies don't stay as scraps."""
+    # one shuffle by document serves both aggregations
+    by_line = in_documents(marked_lines(docs, k, min_bytes).repartition("doc_id", "tie"))
+    gone = by_line.groupBy("doc_id", "tie").agg(F.flatten(F.collect_list("gone")).alias("__gone"), F.sum("seen").alias("__seen"), F.bool_or(~F.col("short")).alias("__long"))
+    gone = gone.where(F.size("__gone") > 0).select(F.col("doc_id").alias("__gone_id"), F.col("tie").alias("__gone_tie"), "__gone", "__seen", "__long")
     keyed = docs.withColumns({"__tie": F.xxhash64("text"), "__id": F.col("doc_id").cast("long")})
     joined = keyed.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__tie") == F.col("__gone_tie")), "left")
     hit = F.col("__gone").isNotNull()
     lines = F.split("text", "\n")
-    out = joined.where(~hit | (F.size(F.filter(lines, lambda x: F.octet_length(x) > 0)) > F.col("__seen")))
+    out = joined.where(~hit | ~F.col("__long") | (F.size(F.filter(lines, lambda x: F.octet_length(x) > 0)) > F.col("__seen")))
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
     out = out.withColumn("text", F.when(hit, left).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

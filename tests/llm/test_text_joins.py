@@ -113,6 +113,29 @@ def test_line_dedup_of_documents(docs, rows, monkeypatch):
     assert line_dedup.dedup_lines(docs([])).count() == 0
 
 
+def test_short_lines_that_repeat_in_a_document_go(docs):
+    a = "a line that is long enough to be compared"
+    texts = [(1, "yes\nWh the.\nyes\n\n\nyes"), (2, "yes\nyes\nno\nyes"), (3, f"{a}\nno\n{a}\nno"), (4, f"{a}\nyes\nyes"), (5, "own\nown"), (5, "other\nown"), (None, "é\né\ne"), (6, "\n\n"), (7, "own\nother")]
+    want = {1: {"yes\nWh the.\n\n"}, 2: {"yes\nno"}, 3: {f"{a}\nno"}, 5: {"own", "other\nown"}, None: {"é\ne"}, 6: {"\n\n"}, 7: {"own\nother"}}
+    got = {}
+    for r in line_dedup.dedup_lines(docs(texts)).collect():
+        got.setdefault(r.doc_id, set()).add(r.text)
+        assert r.n_chars == len(r.text)
+    assert got == want
+
+
+def test_short_repeats_against_counting(docs, line_docs):
+    r = random.Random(6)
+    more = [(1000 + i, "\n".join(r.choice(["yes", "no", "Les Rech.", "", "another line, and a long one"]) for _ in range(r.randint(1, 9)))) for i in range(30)]
+    pairs = [p for p in line_docs if p[0] != 7] + more
+    want = {k: (*v, 0) for k, v in brute_lines(pairs, 2, line_dedup.MIN_BYTES).items()}
+    for i, t in pairs:
+        lines = (t or "").split("\n")
+        want |= {(i, n): (i, lines.index(x), 0) for n, x in enumerate(lines) if 0 < len(x.encode()) < line_dedup.MIN_BYTES and lines.index(x) < n}
+    got = {(x.doc_id, x.line): (x.kept_doc_id, x.kept_line, 0) for x in line_dedup.duplicate_lines(docs(pairs), short_repeats=True).collect()}
+    assert got == want and len(got) > len(line_dedup.duplicate_lines(docs(pairs)).collect())
+
+
 @pytest.fixture(scope="module")
 def copies():
     r = random.Random(9)
