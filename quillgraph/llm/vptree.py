@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quillgraph.llm.topk import DECIMALS, _LISTS, best, dimension, list_batch, matrix, merged, tile_count, tiled, usable
 
 LEAF = 256
-FACTOR = 4.0
+FACTOR = 2.0  # 4 falls under a recall of 0.9 on vectors of low intrinsic dimension
 BLOCK = 1024
 _NODE = "b_tile int, b_tile_ids array<long>, b_tile_vecs array<double>, vantage array<int>, radius array<double>"
 

@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 
@@ -67,6 +69,21 @@ def test_pruning_saves_work():
     assert seen[1] < seen[0] < 0.5 * 4096**2
 
 
+@pytest.mark.parametrize("dim", [2, 4, 8, 16])
+def test_recall_of_the_default_factor(dim):
+    """Vectors of 64 numbers and low intrinsic dimension, of which the tree prunes a good part."""
+    rng = np.random.default_rng(dim)
+    points = rng.normal(size=(4096, dim)) @ np.linalg.qr(rng.normal(size=(64, dim)))[0].T
+    order, vantage, radius = vptree.build(points)
+    s = vptree.Search(np.arange(150), points[:150], order, points[order], vantage, radius, 10, inspect.signature(vptree.ann).parameters["factor"].default)
+    rows, found, _ = s.lists()
+    d = np.sqrt(((points[:150, None] - points[None]) ** 2).sum(axis=2))
+    d[np.arange(150), np.arange(150)] = np.inf
+    want = np.argsort(d, axis=1)[:, :10]
+    hits = sum(len(set(found[rows == i]) & set(want[i])) for i in range(150))
+    assert hits >= 0.95 * want.size and s.visited < 0.9 * 150 * 4096
+
+
 def test_few_rows_and_empty_tables(spark, vectors):
     _, df = vectors
     for search in (topk.exact_topk, vptree.ann):
