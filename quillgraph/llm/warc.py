@@ -4,7 +4,9 @@ An archive is read record by record: a gzip member (checked by its CRC and lengt
 its version line, headers, Content-Length, closing line breaks and, if given, WARC-Block-Digest hold. Where a check fails,
 the reader looks for the next gzip magic or version line from which a good record can be read, goes on there, and logs
 the bytes between as a quarantined gap with the check that failed. A member that holds several records is read the same
-way inside.
+way inside, wherever its first version line is. If such a member fails its own check, the records inflated before stay and the
+rest is a gap: after wrong data or a wrong CRC those whose digest holds, in a member cut short all good ones. A member that gives
+one record and nothing else is good by its own check only.
 
 Archives come as rows (shard, content), from read_archives() or write_archives(); each row is read on its own, so archives spread over all
 tasks. Splitting very large archives into rows at any place is safe only at record limits.
@@ -34,10 +36,16 @@ _GZIP = b"\x1f\x8b\x08"
 _START = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]|WARC/(?:0\.1[78]|1\.[01])\r\n")
 _VERSION = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r\n")
 _BLANK = b"\r\n\r\n"
+_CUT = "gzip: cut short"
+_PIECE = 4096
 
 
 class Damaged(Exception):
-    """A check that failed."""
+    """A check that failed; found holds the records and gaps of a failed member of several, resume where their bytes end."""
+
+    def __init__(self, reason: str, found: list[Record | Gap] | None = None, resume: int = 0) -> None:
+        super().__init__(reason)
+        self.found, self.resume = found or [], resume
 
 
 @dataclass
@@ -95,26 +103,86 @@ def member(data: bytes, at: int) -> tuple[bytes, int]:
     except zlib.error as e:
         raise Damaged(f"gzip: {str(e).rpartition(': ')[2]}") from None
     if not inflate.eof:
-        raise Damaged("gzip: cut short")
+        raise Damaged(_CUT)
     return out, len(data) - len(inflate.unused_data)
 
 
+def inflated(data: bytes, at: int) -> bytes:
+    """What a failed member gives before the place of its failure."""
+    inflate, out = zlib.decompressobj(31), []
+    for lo in range(at, len(data), _PIECE):
+        before = inflate.copy()
+        try:
+            out.append(inflate.decompress(data[lo : lo + _PIECE]))
+        except zlib.error:  # all bytes up to the one that fails
+            try:
+                for i in range(lo, lo + _PIECE):
+                    out.append(before.decompress(data[i : i + 1]))
+            except zlib.error:
+                break
+        if inflate.eof:
+            break
+    return b"".join(out)
+
+
+def consumed(data: bytes, at: int, size: int) -> int:
+    """The place up to which a member must be read for so many bytes of content."""
+    inflate, got = zlib.decompressobj(31), 0
+    for lo in range(at, len(data), _PIECE):
+        before = inflate.copy()
+        try:
+            more = len(inflate.decompress(data[lo : lo + _PIECE]))
+        except zlib.error:
+            more = size
+        if got + more >= size:
+            for i in range(lo, lo + _PIECE):
+                got += len(before.decompress(data[i : i + 1]))
+                if got >= size:
+                    return i + 1
+        got += more
+    return len(data)
+
+
+def rescued(data: bytes, at: int, failed: Damaged) -> Damaged:
+    """The failed check with what can be read of a member of several records."""
+    content = inflated(data, at)
+    inside = list(salvage(content)) if _VERSION.search(content) else []
+    if len(inside) < 2:
+        return failed
+    cut = str(failed) == _CUT
+    found = [x if isinstance(x, Gap) or cut or x.headers.get("warc-block-digest", "").lower().startswith("sha1:") else Gap(x.begin, x.end, str(failed)) for x in inside]
+    while found and isinstance(found[-1], Gap):
+        found.pop()
+    if not found:
+        return failed
+    stop = found[-1].end
+    return Damaged(str(failed), [*found, Gap(stop, len(content), str(failed))], consumed(data, at, stop))
+
+
 def records_at(data: bytes, at: int) -> tuple[list[Record | Gap], int]:
     """What the member or record at a place holds, and its end; raises Damaged if nothing good begins there."""
     if data.startswith(_GZIP, at):
-        content, end = member(data, at)
-        inside = list(salvage(content)) if content.count(b"WARC/", 0, 5) else []
+        try:
+            content, end = member(data, at)
+        except Damaged as e:
+            raise rescued(data, at, e) from None
+        inside = list(salvage(content)) if _VERSION.search(content) else []
         if not any(isinstance(x, Record) for x in inside):
             raise Damaged("member without a record" if not inside else inside[0].reason)
-        several = len(inside) > 1
-        for x in inside:
-            x.inner = x.begin if several else 0
-            x.begin, x.end = at, end
+        placed(inside, at, end)
         return inside, end
     record = plain_record(data, at)
     return [record], record.end
 
 
+def placed(inside: list[Record | Gap], at: int, end: int) -> None:
+    """Records and gaps of a member get the member's place."""
+    several = len(inside) > 1
+    for x in inside:
+        x.inner = x.begin if several else 0
+        x.begin, x.end = at, end
+
+
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """Records and gaps in order; together they cover the data, but for line breaks between records."""
     at, size = 0, len(data)
@@ -125,16 +193,21 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         try:
             found, end = records_at(data, at)
         except Damaged as e:
-            begin, reason, found, end = at, str(e), [], size
-            for m in _START.finditer(data, at + 1):
+            begin, failed, found, end, stop = at, e, [], size, size
+            for m in _START.finditer(data, max(at + 1, e.resume)):
                 try:
                     found, end = records_at(data, m.start())
-                except Damaged:
-                    continue
-                yield Gap(begin, m.start(), reason)
+                except Damaged as other:
+                    if not other.found:
+                        continue
+                    end = m.start()  # a failed member with records: its own turn comes next
+                stop = m.start()
                 break
+            if failed.found:
+                placed(failed.found, begin, stop)
+                yield from failed.found
             else:
-                yield Gap(begin, size, reason)
+                yield Gap(begin, stop, str(failed))
         yield from found
         at = end
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from quillgraph.llm import warc
@@ -50,6 +51,43 @@ def test_every_record_survives_any_single_hit():
             assert sum(x.end - x.begin for x in found) == len(data)
 
 
+def test_members_whose_first_version_line_is_not_in_front():
+    for junk in (b"\r\n", b"junk", b"WARX/1.1\r\n" + A[10:], bytes(3)):
+        found = list(warc.salvage(gz(junk + B + C)))
+        assert [x.headers["x-page-id"] for x in found if isinstance(x, warc.Record)] == ["2", "3"]
+        assert [type(x).__name__ for x in found] == ["Gap"] * (junk != b"\r\n") + ["Record"] * 2
+    assert read(gz(b"no record") + A)[0][0][0] == "Gap"
+
+
+def test_failed_members_of_several_records():
+    packed, last = gz(A + B + C), gz(C)
+    wrong = bytearray(packed)
+    wrong[-8] ^= 1  # CRC
+    stored = zlib.compressobj(0, zlib.DEFLATED, 31)
+    stored = bytearray(stored.compress(A + B + C) + stored.flush())
+    stored[-8] ^= 1
+    for hit in (bytes(wrong), packed[:-5], bytes(stored)):
+        for more in (b"", last, A, bytes(wrong)):
+            ids = read(hit + more)[1]
+            assert ids == ["1", "2", "3"] + {b"": [], last: ["3"], A: ["1"]}.get(more, ["1", "2", "3"])
+        found = list(warc.salvage(hit + last))
+        assert [type(x).__name__ for x in found] == ["Record"] * 3 + ["Gap", "Record"] and found[3].reason.startswith("gzip")
+        assert {(x.begin, x.end) for x in found[:4]} == {(0, len(hit))} and [x.inner for x in found[:4]] == [0, len(A), len(A + B), len(A + B + C)]
+    # wrong data: a record without a digest can't be told to be whole, one with a digest can
+    bare = b"WARC/1.1\r\nContent-Length: 1\r\nX-Page-Id: 9\r\n\r\nx\r\n\r\n"
+    wrong = bytearray(gz(A + bare + B))
+    wrong[-8] ^= 1
+    assert read(bytes(wrong))[1] == ["1", "2"] and read(gz(A + bare + B)[:-5])[1] == ["1", "9", "2"]
+    # what is inflated before the failure, over several pieces
+    r = random.Random(1)
+    pages = b"".join(warc.page_bytes(100 + i, "u", "".join(chr(r.randrange(32, 127)) for _ in range(900))) for i in range(40))
+    half = gz(pages)[: len(gz(pages)) // 2]
+    for more, after in ((b"", []), (last, ["3"])):
+        ids = read(half + more)[1]
+        whole = len(ids) - len(after)
+        assert ids == [str(100 + i) for i in range(whole)] + after and 17 <= whole <= 21
+
+
 def test_tables(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "<p>é</p>", 0), (2, None, None, 0), (None, "u", "", 0), (95, "u", "x", 0), (96, "v", "lost" * 50, 0), (97, "w", "kept", 0), (1, "u", "<p>é</p>", 0)], "page_id long, url string, html string, shard int")
     rows = warc.read(warc.write_archives(pages.coalesce(1), records=3)).collect()
