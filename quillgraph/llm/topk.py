@@ -1,13 +1,14 @@
 """Operator 10: exact top-k search by tiled matrix products.
 
-Queries and base vectors are cut into tiles of a fixed number of rows. Each pair of tiles is one task: a float64 matrix
-product, a partial selection of the best k of each row, and a list of k for each query. The lists of one query tile are
-merged in a tree of fixed fan-in, so no task reads more than ``FAN_IN`` lists, whatever the number of tiles.
+Queries and base vectors are cut into tiles by the hash of their id: of up to TILE_BYTES, and not under LEAST_BYTES while there are fewer tiles
+than partitions. Each pair of tiles is a float64 matrix product in strips of about STRIP scores, a partial selection of the best k of each row, and a
+list of k for each query. The lists of one query tile are merged in a tree of fixed fan-in, so no task reads more than ``FAN_IN`` lists, whatever the
+number of tiles. What is shuffled of a query tile is a copy for every base tile; a pair of full tiles is 64 MB for 5 * 10^11 operations (64 numbers).
 
 Defined results: score is the inner product (or cosine), rounded to 9 decimals; order is score descending, then id
 ascending; a row is never its own neighbour (equal ids); rows with a NULL id, NULL vector, a NULL, NaN or infinite component or
-another length than ``dim`` are left out on both sides; repeated rows with one id count once each as base rows; fewer than k base rows give
-fewer neighbours; an empty table gives an empty result; further columns are ignored.
+another length than ``dim`` are left out on both sides; of rows with one id the one with the least vector (by its first number, then the next) counts,
+on both sides; fewer than k base rows give fewer neighbours; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,9 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TILE_BYTES = 2 << 20
+from quillgraph.llm.common import fitting_partitions
+
+TILE_BYTES = 32 << 20
+LEAST_BYTES = 2 << 20
 FAN_IN = 16
-STRIP = 256
+STRIP = 1 << 22
 DECIMALS = 9
 _LISTS = "q_tile int, part int, q binary, ids binary, scores binary"
 
@@ -35,10 +39,11 @@ def usable(df: DataFrame, id_col: str, vec_col: str, dim: int | None) -> DataFra
     return out.where(F.size("vec") == dim) if dim else out
 
 
-def dimension(df: DataFrame, vec_col: str) -> int:
-    """Length of the vectors: that of the most rows, the larger one of equals; 0 for none. Counted over all rows."""
-    top = df.where(F.col(vec_col).isNotNull()).groupBy(F.size(vec_col).alias("n")).count().orderBy(F.desc("count"), F.desc("n")).head()
-    return top["n"] if top else 0
+def shape(df: DataFrame, vec_col: str, dim: int | None = None) -> tuple[int, int]:
+    """(length, rows): the length of the most vectors, the larger one of equals, or dim; and how many vectors have it. 0, 0 for none. Counted over all rows."""
+    sizes = df.where(F.col(vec_col).isNotNull()).groupBy(F.size(vec_col).alias("n")).count()
+    top = (sizes if dim is None else sizes.where(F.col("n") == dim)).orderBy(F.desc("count"), F.desc("n")).head()
+    return (top["n"], top["count"]) if top else (dim or 0, 0)
 
 
 def tiled(df: DataFrame, tiles: int, name: str) -> DataFrame:
@@ -51,13 +56,25 @@ def tiled(df: DataFrame, tiles: int, name: str) -> DataFrame:
     )
 
 
-def tile_count(rows: int, dim: int) -> int:
-    return max(1, math.ceil(rows * max(dim, 1) * 8 / TILE_BYTES))
+def tile_count(rows: int, dim: int, partitions: int) -> int:
+    size = rows * max(dim, 1) * 8
+    return max(1, math.ceil(size / TILE_BYTES), min(math.ceil(size / LEAST_BYTES), partitions))
 
 
 def matrix(batch: pa.RecordBatch, i: int, name: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """A tile's ids, each once, and their vectors. Rows of one id are always in one tile."""
     ids = batch.column(f"{name}_ids")[i].values.to_numpy(zero_copy_only=False)
-    return ids, batch.column(f"{name}_vecs")[i].values.to_numpy(zero_copy_only=False).reshape(-1, dim)
+    vecs = batch.column(f"{name}_vecs")[i].values.to_numpy(zero_copy_only=False).reshape(-1, dim)
+    order = np.argsort(ids, kind="stable")
+    again = ids[order[1:]] == ids[order[:-1]]
+    if again.any():
+        several = np.isin(ids, ids[order[1:]][again])
+        some = np.flatnonzero(several)
+        some = some[np.lexsort((*vecs[some].T[::-1], ids[some]))]
+        first = some[np.r_[True, ids[some][1:] != ids[some][:-1]]]
+        keep = np.concatenate([np.flatnonzero(~several), first])
+        ids, vecs = ids[keep], vecs[keep]
+    return ids, vecs
 
 
 def best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,9 +91,10 @@ def best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple
 def product_lists(q_ids: np.ndarray, q: np.ndarray, b_ids: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best base rows of one tile for each query of another: (query ids, base ids, scores)."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for at in range(0, len(q), STRIP):
-        s = q[at : at + STRIP] @ b.T
-        s[q_ids[at : at + STRIP, None] == b_ids[None, :]] = -np.inf
+    strip = max(1, STRIP // max(1, len(b)))
+    for at in range(0, len(q), strip):
+        s = q[at : at + strip] @ b.T
+        s[q_ids[at : at + strip, None] == b_ids[None, :]] = -np.inf
         n = s.shape[1]
         cut = np.full(len(s), -np.inf) if n <= k else -np.partition(-s, k - 1, axis=1)[:, k - 1]
         row, col = np.nonzero((s >= (cut - 2 * 10.0**-DECIMALS)[:, None]) & (s > -np.inf))
@@ -120,14 +138,20 @@ def tile_pairs(queries: DataFrame, base: DataFrame, q_tiles: int, b_tiles: int)
     return left.join(tiled(base, b_tiles, "b_tile").hint("shuffle_hash"), "b_tile")
 
 
+def tile_counts(queries: DataFrame, base: DataFrame, vec_col: str) -> tuple[int, int, int]:
+    """(tiles of queries, tiles of base, length of the vectors)"""
+    partitions = fitting_partitions(base.sparkSession)
+    dim, rows = shape(base, vec_col)
+    return tile_count(shape(queries, vec_col, dim)[1], dim, partitions), tile_count(rows, dim, partitions), dim
+
+
 def exact_topk(queries: DataFrame, base: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", cosine: bool = False) -> DataFrame:
     """(query_id, rank, neighbor_id, score): the k base rows of largest inner product for every query row."""
-    dim = dimension(base, vec_col)
+    q_tiles, b_tiles, dim = tile_counts(queries, base, vec_col)
     q, b = usable(queries, id_col, vec_col, dim), usable(base, id_col, vec_col, dim)
     if cosine:
         unit = F.expr("transform(vec, x -> x / sqrt(aggregate(vec, 0D, (a, y) -> a + y * y)))")
         q, b = (x.where(F.exists("vec", lambda y: y != 0)).withColumn("vec", unit) for x in (q, b))
-    q_tiles, b_tiles = tile_count(queries.count(), dim), tile_count(base.count(), dim)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

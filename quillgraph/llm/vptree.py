@@ -5,11 +5,11 @@ first and visits the other one only if ``|d - radius| <= worst / factor``, where
 far. By the triangle inequality factor 1 loses nothing; a larger factor prunes more and may lose neighbours. Queries go
 through a tree together: a node handles all queries that reach it with one matrix product.
 
-Every row is a query and meets every shard; the lists of the shards are merged in a tree (see topk). Trees are built
+Every query meets every shard; the lists of the shards are merged in a tree (see topk). Trees are built
 once for a shard and travel with it.
 
 Defined results: Euclidean distance rounded to 9 decimals, ties by id; a row is not its own neighbour; rows that can't be
-compared (see topk) are left out; an empty table gives an empty result.
+compared are left out and of rows with one id one counts, both as in topk; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.topk import DECIMALS, _LISTS, best, dimension, list_batch, matrix, merged, tile_count, tiled, usable
+from quillgraph.llm.topk import DECIMALS, _LISTS, best, list_batch, matrix, merged, tile_counts, tiled, usable
 
 LEAF = 256
 FACTOR = 2.0  # 4 falls under a recall of 0.9 on vectors of low intrinsic dimension
@@ -123,10 +123,9 @@ class Search:
 
 
 def ann(queries: DataFrame, base: DataFrame, k: int = 10, factor: float = FACTOR, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, neighbor_id, distance) of every query row. Base ids should be unique: of repeated ids the first found row counts."""
-    dim = dimension(base, vec_col)
-    q, b = usable(queries, id_col, vec_col, dim), usable(base, id_col, vec_col, dim).dropDuplicates(["id"])
-    q_tiles, b_tiles = tile_count(queries.count(), dim), tile_count(base.count(), dim)
+    """(query_id, rank, neighbor_id, distance) of every query."""
+    q_tiles, b_tiles, dim = tile_counts(queries, base, vec_col)
+    q, b = usable(queries, id_col, vec_col, dim), usable(base, id_col, vec_col, dim)
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,7 +3,7 @@ import inspect
 import numpy as np
 import pytest
 
-from quillgraph.llm import topk, vptree
+from quillgraph.llm import registry, topk, vptree
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, vec int, q_tile int"
 
@@ -36,6 +36,7 @@ def listed(df, value):
 
 def test_exact_topk(vectors, monkeypatch):
     v, df = vectors
+    monkeypatch.setattr(topk, "STRIP", 100)
     monkeypatch.setattr(topk, "TILE_BYTES", 6 * 8 * 20)  # 16 tiles: the lists of 16 tiles are merged, and tiles differ in size
     monkeypatch.setattr(topk, "FAN_IN", 4)
     got = listed(topk.exact_topk(df, df, 5), "score")
@@ -91,3 +92,24 @@ def test_few_rows_and_empty_tables(spark, vectors):
         two = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
         assert {(r.query_id, r.neighbor_id) for r in search(two, two, 3).collect()} == {(1, 2), (2, 1)}
         assert search(two, two.limit(0), 3).count() == 0
+
+
+def test_repeated_ids_count_once(spark):
+    rows = [(1, [0.0, 1.0]), (1, [-1.0, 1.0]), (1, [-1.0, 2.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [0.0, 0.5]), (5, [2.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = {1: np.array([-1.0, 1.0]), 2: np.array([1.0, 1.0]), 3: np.array([0.0, 0.5]), 5: np.array([2.0, 2.0])}
+    want = brute(v, 3, False)
+    assert listed(topk.exact_topk(df, df, 3), "score") == {i: [(-s + 0.0, j) for s, j in x] for i, x in want.items()}
+    assert listed(vptree.ann(df, df, 3, 1.0), "distance") == brute(v, 3, True)
+
+
+@pytest.mark.parametrize("name", ["op9_ann_vptree", "op10_exact_topk"])
+def test_registered_queries_against_brute_force(spark, name):
+    folder = "/root/testdata/sf0.001"
+    given = {r.vec_id: np.array(r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
+    euclid = name.startswith("op9")
+    got = listed(registry.QUERIES[name](spark, folder), "distance" if euclid else "score")
+    want = {i: x for i, x in brute(given, 10, euclid).items() if i % 100 == 0}
+    assert set(got) == set(want) and all(len(x) == 10 for x in got.values())
+    hits = sum(len({j for _, j in want[i]} & {j for _, j in got[i]}) for i in want)
+    assert hits >= (0.9 if euclid else 1) * 10 * len(want)
