@@ -38,8 +38,17 @@ def _clean() -> None:
         try:
             if spark.sparkContext._jsc is not None:
                 _remove(spark, path)
-        except Exception:  # noqa: BLE001  the session is gone: the cluster's own clean-up removes its folder
-            return
+        except Exception:  # noqa: BLE001  the session or this table is gone: the cluster's own clean-up removes its folder
+            continue
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes tables that written() made, once nothing is read from them any more."""
+    for df in frames:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            _remove(df.sparkSession, path)
+            _made.remove((df.sparkSession, path))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -53,4 +62,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: lineage ends there, and a lost executor costs nothing."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
