@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from quillgraph.scratch import written  # noqa: F401  the operators' way to store what they build on
 
@@ -17,6 +17,16 @@ def fitting_partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+BUCKET_BYTES = 256 << 20
+_UNKNOWN = 1 << 60
+
+
+def size_buckets(df: DataFrame) -> int:
+    """Buckets for work that holds a bucket at a time: as many as shuffle partitions, more if the input that Spark's plan expects would give a bucket over BUCKET_BYTES."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return fitting_partitions(df.sparkSession, 1 if size >= _UNKNOWN else -(-size // BUCKET_BYTES))
+
+
 def _murmur(k: int) -> int:
     """Spark's hash of one int (Murmur3, seed 42), unsigned."""
     m = 0xFFFFFFFF

@@ -4,35 +4,40 @@ Every document is a query: its partners are the documents whose set of word n-gr
 Documents with equal sets form a class and are handled as one.
 
 1. Every n-gram is sent to a bucket by its hash, in packed blocks; a bucket holds the whole inverted lists of its n-grams and so knows
-   how many classes each occurs in. N-grams of a single class can't be shared and end here.
-2. By class, the shared n-grams come back with their frequencies. A partner of a class with s n-grams shares at least ceil(t*s) of them, so one of
+   how many classes each occurs in. N-grams of a single class can't be shared and end here. N-grams that a sample shows to be in more than HOT_SHARE
+   of all documents aren't listed: they go with their classes as the most frequent ones (frequencies only order n-grams). Members of
+   classes only pass through and are aggregated by Spark, so a class of any number of copies is no task's load.
+2. By class, the shared n-grams come together with their frequencies. A partner of a class with s n-grams shares at least ceil(t*s) of them, so one of
    the s - ceil(t*s) + 1 rarest; n-grams of the class alone take the first places of that prefix. Most classes have no other ones and are done.
 3. By n-gram of the prefix, classes that could be partners meet (prefix, length and positional filters). They are not paired here: each class has a home, its
    least shared n-gram, and joins a cell for each pair of homes that met. Near copies mostly have the same home, so a group of them fills a
    few cells, and a class is sent to few places, however large the group. A cell of more than CELL classes is cut into blocks, and each pair of blocks is a cell of its own,
    so the largest groups spread over many tasks.
 4. In each cell the T-occurrence search runs: for each query the longest lists are set aside, the short ones are merged by a heap, and those
-   candidates that could still reach the required overlap are looked up in the long ones by binary search (DivideSkip).
+   candidates that could still reach the required overlap are looked up in the long ones by binary search (DivideSkip). A pair of classes meets in exactly one cell.
+5. Of a cell only each class's number of links and the least class of its part of the group go on, not the pairs, whose number is the square of the group's.
+   Groups are the connected components over all cells.
 
 Nothing is capped: frequent n-grams come last in every prefix, and where a document consists of them it still meets all others.
 
 Defined results: words are runs of letters, digits and characters beyond ASCII in lower case; a document of fewer than n words has its whole
-word sequence as its one n-gram, one without words has no partners; rows with NULL doc_id or NULL text are left out; repeated rows are in one class, each doc_id
-once; an empty table gives an empty result; further columns are ignored. N-grams are compared by 48 bits of hash within a bucket, classes by 64 bits.
+word sequence as its one n-gram, one without words has no partners; rows with NULL doc_id or NULL text are left out; repeated rows count once, a doc_id with
+several texts has a row for each class; an empty table gives an empty result; further columns are ignored. N-grams are compared by 48 bits of hash within a bucket, classes by 64 bits.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import bucket_keys, fitting_partitions, mix, word_hashes, written
+from quillgraph.llm.common import bucket_keys, mix, size_buckets, word_hashes, written
+from quillgraph.scratch import discard
 
 N = 4
 THRESHOLD = 0.45
@@ -40,6 +45,9 @@ BLOCK_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
 HEAP_MOST = 512
 CELL = 1024
+HOT_SHARE = 1 / 64
+HOT_LEAST = 16
+SAMPLE = 4096
 MOST = 65535
 _FACTORS = mix(np.arange(101, 133, dtype=np.uint64)) | np.uint64(1)
 _EPS = 1e-9
@@ -132,7 +140,7 @@ def starts(sorted_values: np.ndarray) -> np.ndarray:
 
 
 _BLOCK = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.binary())])
-MEMBERS, ENTRIES = 0, 1
+MEMBERS, ENTRIES, HOT = 0, 1, 2
 
 
 def _rows(rows: list[tuple[int, int, bytes]], places: list[int] | None = None) -> pa.RecordBatch:
@@ -145,28 +153,48 @@ def class_buckets(owner: np.ndarray, buckets: int) -> np.ndarray:
     return ((owner >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
-def map_block(ids: np.ndarray, texts: list[str], n: int, buckets: int) -> Iterator[tuple[int, int, bytes]]:
-    """Step 1, map side: members by class, and n-grams by bucket."""
+def listed(gram: np.ndarray, bucket: int) -> np.ndarray:
+    """What stands for an n-gram from step 2 on: 48 bits, from those of its hash that its list has."""
+    return gram ^ spread(bucket)
+
+
+def map_block(ids: np.ndarray, ties: np.ndarray, texts: list[str], n: int, buckets: int, hot: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """Step 1, map side: members, in any bucket, and n-grams by bucket, hot ones by class. hot: sorted hashes."""
     sets = gram_sets(texts, n)
     some = np.array([len(s) > 0 for s in sets], bool)
     if not some.any():
         return
-    ids, sets = ids[some], [s for s in sets if len(s)]
+    ids, ties, sets = ids[some], ties[some], [s for s in sets if len(s)]
     owner = class_hashes(sets)
-    for b, rows in by_bucket(class_buckets(owner, buckets), buckets):
-        yield b, MEMBERS, Packed.write(owner[rows], np.ones(len(rows), np.int64), (np.array([len(sets[i]) for i in rows], np.uint32),), ids[rows])
+    yield int(owner[0] % np.uint64(buckets)), MEMBERS, np.concatenate([owner.view(np.int64), ids, ties]).tobytes()
     _, first = np.unique(owner, return_index=True)
     sizes = np.array([len(sets[i]) for i in first])
     grams, local = np.concatenate([sets[i] for i in first]), np.repeat(np.arange(len(first)), sizes)
-    for b, rows in by_bucket((grams % np.uint64(buckets)).astype(np.int64), buckets):
+    owner = owner[first]
+
+    def packed(rows: np.ndarray, gram: np.ndarray) -> bytes:
         present, count = np.unique(local[rows], return_counts=True)  # rows are in order of local
-        yield b, ENTRIES, Packed.write(owner[first[present]], count, (), shortened(grams[rows] >> np.uint64(16)))
+        return Packed.write(owner[present], count, (sizes[present].astype(np.uint32),), shortened(gram))
+
+    if len(hot):
+        where = np.minimum(np.searchsorted(hot, grams), len(hot) - 1)
+        is_hot = hot[where] == grams
+        some = np.flatnonzero(is_hot)
+        by_gram = grams[some] >> np.uint64(16)
+        for b in np.unique(grams[some] % np.uint64(buckets)).tolist():
+            own = grams[some] % np.uint64(buckets) == b
+            by_gram[own] = listed(by_gram[own], b)
+        for b, rows in by_bucket(class_buckets(owner[local[some]], buckets), buckets):
+            yield b, HOT, packed(some[rows], by_gram[rows])
+        grams, local = grams[~is_hot], local[~is_hot]
+    for b, rows in by_bucket((grams % np.uint64(buckets)).astype(np.int64), buckets):
+        yield b, ENTRIES, packed(rows, grams[rows] >> np.uint64(16))
 
 
 def shared_grams(blocks: list[pa.Buffer], bucket: int, buckets: int) -> Iterator[tuple[int, int, bytes]]:
-    """Step 1, reduce side: the n-grams of one bucket that several classes have, by class. From here on an n-gram is its 48 bits; frequencies only order n-grams, so those
-    beyond 16 bits may count as equal."""
-    owner, count, gram = (np.concatenate(x) for x in zip(*(Packed.read(b, (), 6) for b in blocks)))
+    """Step 1, reduce side: the n-grams of one bucket that several classes have, by class. Frequencies only order n-grams, so those beyond 16 bits count as equal."""
+    owner, count, size, gram = (np.concatenate(x) for x in zip(*(Packed.read(b, (np.uint32,), 6) for b in blocks)))
+    blocks.clear()
     row = np.repeat(np.arange(len(owner), dtype=np.int32), count)
     order = np.argsort(gram)
     gram = gram[order]
@@ -176,58 +204,51 @@ def shared_grams(blocks: list[pa.Buffer], bucket: int, buckets: int) -> Iterator
     gram, row = gram[several], row[order[several]]
     who = owner[row]
     order = np.lexsort((who, gram))
-    gram, who = gram[order], who[order]
+    gram, who, row = gram[order], who[order], row[order]
     fresh = np.r_[True, (gram[1:] != gram[:-1]) | (who[1:] != who[:-1])] if len(gram) else np.empty(0, bool)
-    gram, who = gram[fresh], who[fresh]
+    gram, who, row = gram[fresh], who[fresh], row[fresh]
     at = starts(gram)
     lengths = np.diff(np.r_[at, len(gram)])
     df = np.repeat(lengths, lengths)
     keep = df > 1
-    gram, who, df = gram[keep] ^ spread(bucket), who[keep], np.minimum(df[keep], MOST)
+    gram, who, row, df = listed(gram[keep], bucket), who[keep], row[keep], np.minimum(df[keep], MOST)
     order = np.argsort(who, kind="stable")
-    gram, who, df = gram[order], who[order], df[order]
+    gram, who, row, df = gram[order], who[order], row[order], df[order]
     for b, rows in by_bucket(class_buckets(who, buckets), buckets):
         at = starts(who[rows])
-        yield b, ENTRIES, Packed.write(who[rows[at]], np.diff(np.r_[at, len(rows)]), (), shortened(gram[rows]), df[rows].astype(np.uint16))
-
-
-CLASSES = "owner long, size int, home long, docs array<long>, grams binary, prefix int"
-
-
-def class_rows(members: list[pa.Buffer], entries: list[pa.Buffer], t: float) -> Iterator[pa.RecordBatch]:
-    """Step 2: classes of several documents, and classes whose prefix holds a shared n-gram, with their shared n-grams by frequency."""
-    m_owner, _, m_size, m_doc = (np.concatenate(x) for x in zip(*(Packed.read(b, (np.uint32,), np.int64) for b in members)))
-    order = np.lexsort((m_doc, m_owner))
-    m_owner, m_size, m_doc = m_owner[order], m_size[order], m_doc[order]
-    fresh = np.r_[True, (m_owner[1:] != m_owner[:-1]) | (m_doc[1:] != m_doc[:-1])]
-    m_owner, m_size, m_doc = m_owner[fresh], m_size[fresh], m_doc[fresh]
-    begin = starts(m_owner)
-    end = np.r_[begin[1:], len(m_owner)]
-    owner = m_owner[begin]
-    lo = hi = np.zeros(len(owner), np.int64)
-    gram = np.empty(0, np.uint64)
-    if entries:
-        e_owner, count, gram, df = (np.concatenate(x) for x in zip(*(Packed.read(b, (), 6, np.uint16) for b in entries)))
-        who = np.repeat(e_owner, count)
-        order = np.lexsort((gram, df, who))
-        who, gram = who[order], gram[order]
-        lo, hi = np.searchsorted(who, owner), np.searchsorted(who, owner, side="right")
-    size = m_size[begin].astype(np.int64)
+        yield b, ENTRIES, Packed.write(who[rows[at]], np.diff(np.r_[at, len(rows)]), (size[row[rows[at]]],), shortened(gram[rows]), df[rows].astype(np.uint16))
+
+
+CLASSES = "owner long, size int, home long, grams binary, prefix int"
+
+
+def class_rows(entries: list[pa.Buffer], hot: list[pa.Buffer], t: float) -> Iterator[pa.RecordBatch]:
+    """Step 2: classes whose prefix holds a shared n-gram, with their shared n-grams by frequency, those of the hot list last."""
+    parts = [Packed.read(b, (np.uint32,), 6, np.uint16) for b in entries]
+    parts += [(*x, np.full(len(x[3]), MOST, np.uint16)) for x in (Packed.read(b, (np.uint32,), 6) for b in hot)]
+    owner, count, size, gram, df = (np.concatenate(x) for x in zip(*parts))
+    who, size = np.repeat(owner, count), np.repeat(size, count)
+    order = np.lexsort((gram, df, who))
+    who, size, gram = who[order], size[order].astype(np.int64), gram[order]
+    if hot and len(who):  # a class's hot n-grams come from every block that has a copy
+        fresh = np.r_[True, (who[1:] != who[:-1]) | (gram[1:] != gram[:-1])]
+        who, size, gram = who[fresh], size[fresh], gram[fresh]
+    lo = starts(who)
+    hi = np.r_[lo[1:], len(who)]
+    owner, size = who[lo], size[lo]
     prefix = np.minimum(np.maximum(0, size - need(t, size) + 1 - (size - (hi - lo))), hi - lo)
-    picked = np.flatnonzero((prefix > 0) | (end - begin > 1))
+    picked = np.flatnonzero(prefix > 0)
     for at in range(0, len(picked), 2048):
         part = picked[at : at + 2048]
-        active = prefix[part] > 0
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(owner[part].view(np.int64)),
                 pa.array(size[part].astype(np.int32)),
-                pa.array([int(gram[lo[i] : hi[i]].min().view(np.int64)) if a else None for i, a in zip(part, active)], pa.int64()),
-                pa.array([m_doc[begin[i] : end[i]] for i in part], pa.list_(pa.int64())),
-                pa.array([shortened(gram[lo[i] : hi[i]]).tobytes() if a else None for i, a in zip(part, active)], pa.binary()),
+                pa.array(np.array([gram[lo[i] : hi[i]].min() for i in part]).view(np.int64), pa.int64()),
+                pa.array([shortened(gram[lo[i] : hi[i]]).tobytes() for i in part], pa.binary()),
                 pa.array(prefix[part].astype(np.int32)),
             ],
-            names=["owner", "size", "home", "docs", "grams", "prefix"],
+            names=["owner", "size", "home", "grams", "prefix"],
         )
 
 
@@ -318,12 +339,13 @@ def divide_skip(lists: list[np.ndarray], least: int, weight: float = 0.01) -> tu
     return records[keep], counts[keep]
 
 
-def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.ndarray, t: float) -> Iterator[tuple[int, int, float]]:
+def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Step 4: pairs of records (i < j) of a cell with their similarity; two: only those of different sides."""
+    found = [(np.empty(0, np.int64),) * 3]
     if two and (side.all() or not side.any()):
-        return
-    if len(sets) == 2:
-        pairs = [(0, 1, len(np.intersect1d(sets[0], sets[1], assume_unique=True)))]
+        pass
+    elif len(sets) == 2:
+        found.append(tuple(np.array([x]) for x in (0, 1, len(np.intersect1d(sets[0], sets[1], assume_unique=True)))))
     else:
         gram = np.concatenate(sets)
         record = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -332,7 +354,6 @@ def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.n
         at = starts(gram)
         end = np.r_[at[1:], len(gram)]
         keys = gram[at]
-        pairs = []
         for i, s in enumerate(sets):
             if two and side[i]:
                 continue
@@ -341,32 +362,50 @@ def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.n
             least = int(need(t, int(sizes[i])))
             if len(where) < least:
                 continue
-            found, shared = divide_skip([record[at[k] : end[k]] for k in where], least)
-            for j, o in zip(found.tolist(), shared.tolist()):
-                if (side[j] if two else j > i):
-                    pairs.append((min(i, j), max(i, j), o))
-    for i, j, o in pairs:
-        jaccard = o / int(sizes[i] + sizes[j] - o)
-        if jaccard >= t - _EPS:
-            yield i, j, jaccard
-
+            partner, shared = divide_skip([record[at[k] : end[k]] for k in where], least)
+            keep = side[partner] if two else partner > i
+            found.append((np.full(int(keep.sum()), i), partner[keep], shared[keep]))
+    i, j, shared = (np.concatenate(x) for x in zip(*found))
+    jaccard = shared / np.maximum(1, sizes[i] + sizes[j] - shared)
+    good = jaccard >= t - _EPS
+    i, j = i[good], j[good]
+    return np.minimum(i, j), np.maximum(i, j), jaccard[good]
+
+
+def hot_grams(docs: DataFrame, n: int) -> np.ndarray:
+    """Sorted hashes of the n-grams that more than HOT_SHARE of a sample of about SAMPLE documents have. It decides where n-grams travel, not what is found."""
+    count = docs.count()
+    if not count:
+        return np.empty(0, np.uint64)
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            found, times = np.unique(np.concatenate([np.empty(0, np.uint64), *gram_sets(texts, n)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["gram", "times"])
 
-RESULT = "doc_ids array<long>, match_ids array<long>, jaccard double"
+    some = docs.select("text").sample(min(1.0, SAMPLE / count), 11).mapInArrow(grams, "gram long, times long")
+    least = max(HOT_LEAST, min(SAMPLE, count) * HOT_SHARE)  # so at most the sample's n-grams divided by this number are hot
+    rows = some.groupBy("gram").agg(F.sum("times").alias("times")).where(F.col("times") > least).select("gram").toArrow()
+    return np.sort(rows.column("gram").to_numpy().view(np.uint64))
 
 
-def classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """Steps 1 and 2; written to the shared folder."""
-    buckets = fitting_partitions(docs.sparkSession)
+def shared_entries(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """Step 1; written to the shared folder: (bucket, kind, block), and the number of buckets."""
+    source = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    buckets = size_buckets(source)
     places = bucket_keys(buckets)
+    hot = hot_grams(source, n)
+    block_bytes = min(32 * BLOCK_BYTES, max(BLOCK_BYTES, buckets << 10))  # the more buckets, the more text a block must hold for its parts not to be tiny
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            ids, ties, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             sizes = np.cumsum([len(x) for x in texts])
             lo = 0
             while lo < len(texts):
-                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + BLOCK_BYTES)))
-                rows = list(map_block(ids[lo:hi], texts[lo:hi], n, buckets))
+                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + block_bytes)))
+                rows = list(map_block(ids[lo:hi], ties[lo:hi], texts[lo:hi], n, buckets, hot))
                 if rows:
                     yield _rows(rows, places)
                 lo = hi
@@ -374,35 +413,70 @@ def classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[pa.Buffer]] = {}
         for batch in batches:
-            for b, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if kind == MEMBERS:
-                    yield _rows([(b, kind, block.as_py())])
-                else:
-                    held.setdefault(b, []).append(block.as_buffer())
+            kind = batch.column(1).to_numpy()
+            passing = np.flatnonzero(kind != ENTRIES)
+            if len(passing):
+                yield batch.take(pa.array(passing))
+            for i in np.flatnonzero(kind == ENTRIES).tolist():
+                held.setdefault(batch.column(0)[i].as_py(), []).append(batch.column(2)[i].as_buffer())
         for b in list(held):
             rows = list(shared_grams(held.pop(b), b, buckets))
             if rows:
                 yield _rows(rows, places)
 
+    blocks = source.mapInArrow(emit, "bucket int, kind int, block binary")
+    return written(blocks.repartition(buckets, "bucket").mapInArrow(share, "bucket int, kind int, block binary"), "ngram-shared"), buckets
+
+
+def members(shared: DataFrame) -> DataFrame:
+    """(owner, doc_id, tie): the class of every document with words, and the hash of its text."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.column("block"):
+                x = np.frombuffer(block.as_buffer(), np.int64).reshape(3, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in x], names=["owner", "doc_id", "tie"])
+
+    return shared.where(F.col("kind") == MEMBERS).select("block").mapInArrow(unpack, "owner long, doc_id long, tie long")
+
+
+def active_classes(shared: DataFrame, buckets: int, t: float) -> DataFrame:
+    """Step 2; written to the shared folder."""
+
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list[pa.Buffer], list[pa.Buffer]]] = {}
         for batch in batches:
             for b, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                held.setdefault(b, ([], []))[kind].append(block.as_buffer())
+                held.setdefault(b, ([], []))[kind == HOT].append(block.as_buffer())
         for b in list(held):
             yield from class_rows(*held.pop(b), t)
 
-    source = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    blocks = source.mapInArrow(emit, "bucket int, kind int, block binary")
-    blocks = blocks.repartition(buckets, "bucket").mapInArrow(share, "bucket int, kind int, block binary")
-    return written(blocks.repartition(buckets, "bucket").mapInArrow(collect, CLASSES), "ngram-classes")
+    return written(shared.where(F.col("kind") != MEMBERS).repartition(buckets, "bucket").mapInArrow(collect, CLASSES), "ngram-classes")
+
+
+def cell_links(owner: np.ndarray, i: np.ndarray, j: np.ndarray, jaccard: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Step 5: (owner, links, best, root) of the classes that have links."""
+    links, best, root = np.bincount(np.concatenate([i, j]), minlength=len(owner)), np.zeros(len(owner)), owner.copy()
+    while True:
+        least, old = np.minimum(root[i], root[j]), root.copy()
+        for x in (i, j):
+            np.minimum.at(root, x, least)
+        if (root == old).all():
+            break
+    for x in (i, j):
+        np.maximum.at(best, x, jaccard)
+    some = links > 0
+    return owner[some], links[some], best[some], root[some]
+
 
+def cell_pairs(owner: np.ndarray, i: np.ndarray, j: np.ndarray, jaccard: np.ndarray) -> tuple[np.ndarray, ...]:
+    return owner[i], owner[j], jaccard
 
-def near_classes(found: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """Steps 3 and 4: pairs of different classes."""
-    buckets = fitting_partitions(found.sparkSession)
+
+def searched(active: DataFrame, buckets: int, t: float, result: Callable[..., tuple[np.ndarray, ...]], schema: str) -> DataFrame:
+    """Steps 3 to 5: what result makes of the pairs of each cell."""
     places = bucket_keys(buckets)
-    active = found.where("prefix > 0")
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,32 +489,37 @@ def near_classes(found: DataFrame, t: float = THRESHOLD) -> DataFrame:
             rows = meetings(held, t)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)], names=["owner", "a", "b"])
 
-    def solve(rows: list[dict]) -> list[tuple]:
+    def solve(rows: list[dict]) -> tuple[np.ndarray, ...]:
         first = rows[0]
         homes, blocks = first["a"] != first["b"], first["i"] != first["j"]
         home, block = np.array([r["home"] == r["b"] for r in rows]), np.array([r["block"] == first["j"] for r in rows])
-        found = search_cell([np.sort(widened(np.frombuffer(r["grams"], np.uint8), 6)) for r in rows], np.array([r["size"] for r in rows], np.int64), homes or blocks, home if homes else block, t)
-        out = []
-        for i, j, x in found:
-            if not (homes and blocks) or block[i] != block[j]:
-                left, right = sorted((rows[i]["docs"], rows[j]["docs"]), key=lambda d: d[0])
-                out.append((left, right, round(x, 6)))
-        return out
+        i, j, x = search_cell([np.sort(widened(np.frombuffer(r["grams"], np.uint8), 6)) for r in rows], np.array([r["size"] for r in rows], np.int64), homes or blocks, home if homes else block, t)
+        if homes and blocks:
+            good = block[i] != block[j]
+            i, j, x = i[good], j[good], x[good]
+        return result(np.array([r["owner"] for r in rows], np.int64), i, j, x)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, rows, out = None, [], []
+        cell, rows, out, held = None, [], [], 0
+
+        def batch_of(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+
         for batch in batches:
             for r in batch.to_pylist():
                 if (r["a"], r["b"], r["i"], r["j"]) != cell:
-                    out += solve(rows) if len(rows) > 1 else []
+                    if len(rows) > 1:
+                        out.append(solve(rows))
+                        held += len(out[-1][0])
                     cell, rows = (r["a"], r["b"], r["i"], r["j"]), []
-                    if len(out) > 4096:
-                        yield _result(out)
-                        out = []
+                    if held > 4096:
+                        yield batch_of(out)
+                        out, held = [], 0
                 rows.append(r)
-        out += solve(rows) if len(rows) > 1 else []
+        if len(rows) > 1:
+            out.append(solve(rows))
         if out:
-            yield _result(out)
+            yield batch_of(out)
 
     blocks = active.select("owner", "size", "home", "grams", "prefix").mapInArrow(emit, "bucket int, kind int, block binary")
     cells = written(blocks.repartition(buckets, "bucket").mapInArrow(meet, "owner long, a long, b long").distinct(), "ngram-cells")
@@ -449,25 +528,44 @@ def near_classes(found: DataFrame, t: float = THRESHOLD) -> DataFrame:
     cells = cells.join(F.broadcast(large) if small else large, ["a", "b"], "left").withColumn("block", F.pmod(F.hash("owner"), F.coalesce("parts", F.lit(1))))
     other = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
     cells = cells.select("owner", "a", "b", "block", other.alias("other")).select("owner", "a", "b", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    full = cells.join(active.select("owner", "size", "home", "docs", "grams"), "owner")
-    return full.repartition(buckets, "a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j").mapInArrow(search, RESULT)
-
-
-def _result(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.float64()))], names=["doc_ids", "match_ids", "jaccard"])
+    full = cells.join(active.select("owner", "size", "home", "grams"), "owner")
+    return full.repartition(buckets, "a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j").mapInArrow(search, schema)
+
+
+def pairs(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
+    """(class_id, match_id, jaccard): every pair of similar classes, by the least doc_id of each, class_id < match_id but for a doc_id with several texts. In a group of m classes there may be m * m / 2 of them."""
+    shared, buckets = shared_entries(docs, n)
+    ids = members(shared).groupBy("owner").agg(F.min("doc_id").alias("id"))
+    found = searched(active_classes(shared, buckets, t), buckets, t, cell_pairs, "a long, b long, jaccard double")
+    both = found.join(ids.select(F.col("owner").alias("a"), F.col("id").alias("x")), "a").join(ids.select(F.col("owner").alias("b"), F.col("id").alias("y")), "b")
+    return both.select(F.least("x", "y").alias("class_id"), F.greatest("x", "y").alias("match_id"), F.round("jaccard", 6).alias("jaccard"))
+
+
+def groups(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
+    """(doc_id, tie, class_id, group_id, copies, links, best) of the documents that have a copy or a link; tie is the hash of the text."""
+    shared, buckets = shared_entries(docs, n)
+    who = members(shared)
+    classes = who.select("owner", "doc_id").distinct().groupBy("owner").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
+    found = written(searched(active_classes(shared, buckets, t), buckets, t, cell_links, "owner long, links long, best double, root long"), "ngram-links")
+    roots = components(found.where("owner <> root").select(F.col("owner").alias("a"), F.col("root").alias("b")))
+    links = found.groupBy("owner").agg(F.sum("links").alias("links"), F.max("best").alias("best"))
+    about = classes.join(links, "owner", "left").where("copies > 1 OR links > 0").join(roots.withColumnRenamed("node", "owner"), "owner", "left").withColumn("root", F.coalesce("root", "owner"))
+    about = written(about, "ngram-about")
+    least = about.groupBy("root").agg(F.min("class_id").alias("group_id"))
+    # the many members of one class are rows of the join's larger side, which adaptive execution can split
+    return who.distinct().join(about.join(least, "root").drop("root"), "owner").select("doc_id", "tie", "class_id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.round("best", 6).alias("best"))
 
 
 def join(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """(doc_ids, match_ids, jaccard): one row for each pair of classes of similar documents, every document of doc_ids being similar to every one of match_ids;
-    and one row for each class of several documents, with the same list twice and similarity 1. The class with the smaller least doc_id comes first."""
-    found = classes(docs, n, t)
-    copies = found.where(F.size("docs") > 1).select(F.col("docs").alias("doc_ids"), F.col("docs").alias("match_ids"), F.lit(1.0).alias("jaccard"))
-    return near_classes(found, t).unionByName(copies)
+    """(doc_id, class_id, group_id, copies, links, best): a row for every document that has a partner. class_id is the least doc_id of its class (documents of equal
+    sets), copies their number; links is the number of other classes that are similar, best the largest of those similarities (NULL without links);
+    group_id is the least doc_id that links lead to."""
+    return groups(docs, n, t).drop("tie").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes of edges (a, b): root is the least node that can be reached. Each round takes the least label around a node and then that label's own; rounds grow with the
-    logarithm of a component's width. Each round's table is written to the shared folder."""
+    logarithm of a component's width. Each round's table is written to the shared folder and the one before removed."""
     both = written(edges.union(edges.select("b", "a")).distinct(), "edges")
     label = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
     while True:
@@ -475,38 +573,39 @@ def components(edges: DataFrame) -> DataFrame:
         step = label.join(around, "node").select("node", F.least("root", "near").alias("next"), "root")
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
         new = written(step.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("root"), F.col("root").alias("old")), "labels")
-        label = new.select("node", "root")
+        discard(label)
+        label = new
         if new.where("root <> old").isEmpty():
-            return label
+            discard(both)
+            return label.select("node", "root")
 
 
 def repeats(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """(doc_id, kept_id): the documents that go if of each group of similar documents (linked by pairs) the one with the least doc_id stays."""
-    rows = written(join(docs, n, t), "ngram-pairs")
-    least = rows.select(F.array_min("doc_ids").alias("a"), F.array_min("match_ids").alias("b"))
-    roots = components(least.where("a <> b"))
-    members = rows.select(F.explode(F.array("doc_ids", "match_ids")).alias("docs")).select(F.array_min("docs").alias("node"), F.explode("docs").alias("doc_id")).distinct()
-    return members.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("kept_id")).where("doc_id <> kept_id").distinct()
+    """(doc_id, tie, kept_id): the documents that go if of each group the one with the least doc_id stays; tie is the hash of the text."""
+    return groups(docs, n, t).where("doc_id <> group_id").select("doc_id", "tie", F.col("group_id").alias("kept_id"))
 
 
 def dedup_documents(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """docs with one document of each group of similar ones, that with the least doc_id. Rows of one doc_id share its fate; rows without id or text stay."""
-    gone = written(repeats(docs, n, t).select(F.col("doc_id").alias("__gone")), "ngram-gone")
+    """docs with one document of each group, that with the least doc_id. Texts of one doc_id are judged each on its own, equal rows alike; rows without id or text stay."""
+    gone = written(repeats(docs, n, t).select(F.col("doc_id").alias("__ngram_gone"), F.col("tie").alias("__ngram_tie")), "ngram-gone")
     small = gone.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if small else gone, (docs["doc_id"].cast("long") == F.col("__ngram_gone")) & (F.xxhash64(docs["text"]) == F.col("__ngram_tie")), "left_anti")
 
 
 def sql(docs: str = "documents", n: int = N, t: float = THRESHOLD) -> str:
     grams = f"CASE WHEN len(w) >= {n} THEN list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"
     return f"""
-WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), lambda x: x <> '') AS w
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), lambda x: x <> '') AS w
   FROM {docs} WHERE doc_id IS NOT NULL AND text IS NOT NULL),
 sets AS (SELECT doc_id, list_sort(list_distinct({grams})) AS g FROM words),
-classes AS (SELECT g, list_sort(list(DISTINCT doc_id)) AS docs, len(g) AS size, row_number() OVER () AS c FROM sets WHERE len(g) > 0 GROUP BY g),
+classes AS MATERIALIZED (SELECT g, list_sort(list(DISTINCT doc_id)) AS docs, len(g) AS size, row_number() OVER () AS c FROM sets WHERE len(g) > 0 GROUP BY g),
 entries AS (SELECT c, size, unnest(g) AS gram FROM classes),
 pairs AS (SELECT x.c AS a, y.c AS b, x.size AS sa, y.size AS sb, count(*) AS shared FROM entries x JOIN entries y ON x.gram = y.gram AND x.c < y.c GROUP BY ALL),
-good AS (SELECT a, b, shared / (sa + sb - shared) AS jaccard FROM pairs WHERE shared / (sa + sb - shared) >= {t} - 1e-9)
-SELECT CASE WHEN x.docs[1] < y.docs[1] THEN x.docs ELSE y.docs END AS doc_ids, CASE WHEN x.docs[1] < y.docs[1] THEN y.docs ELSE x.docs END AS match_ids, round(jaccard, 6) AS jaccard
-FROM good JOIN classes x ON x.c = a JOIN classes y ON y.c = b
-UNION ALL SELECT docs, docs, 1.0 FROM classes WHERE len(docs) > 1
+good AS (SELECT a, b, shared / (sa + sb - shared) AS jaccard FROM pairs WHERE shared / (sa + sb - shared) >= {t} - 1e-9),
+ways AS MATERIALIZED (SELECT a, b, jaccard FROM good UNION ALL SELECT b, a, jaccard FROM good),
+reach AS (SELECT c AS a, c AS b FROM classes WHERE c IN (SELECT a FROM ways) UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b),
+roots AS (SELECT reach.a AS c, min(docs[1]) AS root FROM reach JOIN classes ON c = reach.b GROUP BY reach.a),
+links AS (SELECT a AS c, count(*) AS links, round(max(jaccard), 6) AS best FROM ways GROUP BY a)
+SELECT unnest(docs) AS doc_id, docs[1] AS class_id, coalesce(root, docs[1]) AS group_id, len(docs) AS copies, coalesce(links, 0) AS links, best
+FROM classes LEFT JOIN links USING (c) LEFT JOIN roots USING (c) WHERE len(docs) > 1 OR links > 0
 """

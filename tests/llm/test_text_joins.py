@@ -154,49 +154,79 @@ def copies():
     return out
 
 
-def brute_pairs(pairs, n=ngram_join.N, t=ngram_join.THRESHOLD):
-    sets = {}
+def gram_set(text, n=ngram_join.N):
+    w = words_of(text)
+    return frozenset(tuple(w[a : a + n]) for a in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+
+def brute_classes(pairs, t=ngram_join.THRESHOLD):
+    """Ids of each class by its set, and (class, class) -> similarity, by numbers of classes."""
+    classes = {}
     for i, text in pairs:
-        if i is not None and text is not None:
-            w = words_of(text)
-            g = frozenset(tuple(w[a : a + n]) for a in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
-            sets[i] = g
-    return {(a, b): round(len(x & y) / len(x | y), 6) for a, x in sets.items() for b, y in sets.items() if a < b and x and y and len(x & y) / len(x | y) >= t - 1e-9}
+        if i is not None and text is not None and gram_set(text):
+            classes.setdefault(gram_set(text), set()).add(i)
+    sets = list(classes)
+    near = {(a, b): round(len(x & y) / len(x | y), 6) for a, x in enumerate(sets) for b, y in enumerate(sets) if a < b and len(x & y) / len(x | y) >= t - 1e-9}
+    return [sorted(classes[x]) for x in sets], near
 
 
-def expanded(df):
-    out = {}
-    for r in df.collect():
-        for a in r.doc_ids:
-            for b in r.match_ids:
-                if a != b:
-                    out[min(a, b), max(a, b)] = r.jaccard
+def brute_rows(pairs):
+    ids, near = brute_classes(pairs)
+    root = list(range(len(ids)))
+    for _ in root:
+        for a, b in near:
+            low = min((root[a], root[b]), key=lambda c: ids[c][0])
+            root[a] = root[b] = low
+    out = set()
+    for c, own in enumerate(ids):
+        links = [x for k, x in near.items() if c in k]
+        if len(own) > 1 or links:
+            least = min(ids[d][0] for d in range(len(ids)) if root[d] == root[c])
+            out |= {(i, own[0], least, len(own), len(links), max(links, default=None)) for i in own}
     return out
 
 
-def test_ngram_join_against_all_pairs(docs, copies):
-    want = brute_pairs(copies)
-    assert expanded(ngram_join.join(docs(copies))) == want and len(want) > 300
-    assert ngram_join.join(docs([])).count() == 0
+def result(df):
+    rows = [(r.doc_id, r.class_id, r.group_id, r.copies, r.links, r.best) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.mark.parametrize("hot", [1 << 30, 4])
+def test_ngram_join_against_all_pairs(docs, copies, monkeypatch, hot):
+    """With a hot list too, which here holds most n-grams of the larger groups."""
+    monkeypatch.setattr(ngram_join, "HOT_LEAST", hot)
+    want = brute_rows(copies)
+    assert result(ngram_join.join(docs(copies))) == want and sum(x[4] for x in want) > 300
+    ids, near = brute_classes(copies)
+    got = {(r.class_id, r.match_id, r.jaccard) for r in ngram_join.pairs(docs(copies)).collect()}
+    assert got == {(*sorted((ids[a][0], ids[b][0])), x) for (a, b), x in near.items()} and len(got) > 100
+    assert ngram_join.join(docs([])).count() == 0 and ngram_join.pairs(docs([])).count() == 0
 
 
 def test_large_cells_in_blocks(docs, copies, monkeypatch):
     monkeypatch.setattr(ngram_join, "CELL", 2)
-    rows = ngram_join.join(docs(copies))
-    assert expanded(rows) == brute_pairs(copies)
-    pairs = [(tuple(r.doc_ids), tuple(r.match_ids)) for r in rows.collect()]
-    assert len(pairs) == len(set(pairs))
+    assert result(ngram_join.join(docs(copies))) == brute_rows(copies)
 
 
 def test_one_of_each_group_stays(docs, copies):
-    root = {i: i for i, t in copies if i is not None}
-    pairs = brute_pairs(copies)
-    for _ in root:
-        for a, b in pairs:
-            root[a] = root[b] = min(root[a], root[b])
-    stay = {i for i in root if root[i] == i}
+    group = {i: g for i, _, g, *_ in brute_rows(copies)}
+    stay = {i for i, _ in copies if group.get(i, i) == i}
     out = ngram_join.dedup_documents(docs(copies))
-    assert {r.doc_id for r in out.collect()} == stay | {None} and out.columns == docs(copies).columns
+    assert {r.doc_id for r in out.collect()} == stay and out.columns == docs(copies).columns
+
+
+def test_texts_of_one_doc_id_are_judged_each(docs):
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven twelve", "another text that nobody else has")
+    out = ngram_join.dedup_documents(docs([(1, a), (3, a), (3, b), (4, b), (3, c), (3, c)]))
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted([(1, a), (3, b), (3, c), (3, c)])
+
+
+def test_many_copies_of_one_text(docs):
+    """A class of many copies travels as rows of ids, whatever its size."""
+    text = "one two three four five six seven"
+    rows = result(ngram_join.join(docs([(i, text) for i in range(20_000)] + [(50_000, text + " eight"), (50_001, "nothing else is like it, nothing")])))
+    assert rows == {(i, 0, 0, 20_000, 1, 0.8) for i in range(20_000)} | {(50_000, 50_000, 0, 1, 1, 0.8)}
 
 
 def test_divide_skip_against_counting():
