@@ -27,6 +27,17 @@ def size_buckets(df: DataFrame) -> int:
     return fitting_partitions(df.sparkSession, 1 if size >= _UNKNOWN else -(-size // BUCKET_BYTES))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """names, each with as many underscores behind it as it takes not to be a column of df (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for x in names:
+        while x.lower() in taken:
+            x += "_"
+        out.append(x)
+    return out
+
+
 def _murmur(k: int) -> int:
     """Spark's hash of one int (Murmur3, seed 42), unsigned."""
     m = 0xFFFFFFFF

@@ -9,10 +9,11 @@ differ by more than k edits could make are dropped before any text is fetched. T
 Of lines that are equal or at most k edits apart the first one (by doc_id, then line number) stays; every other occurrence is a duplicate. A line is compared with all
 others, but not by way of a third one: if b is near a and c is near b, c goes because of b.
 
-Only hashes are shuffled, in packed blocks; texts only of lines that are in a candidate pair.
+Only hashes are shuffled, in packed blocks; texts only of lines that are in a candidate pair. A line counts once under a key, however often it
+occurs, so equal lines are never paired.
 
 Defined results: a line is a part of a text between \n; distance counts UTF-8 bytes; lines of fewer than MIN_BYTES bytes are never
-near duplicates, and equal ones go only within one document, by dedup_lines() or with short_repeats; NULL texts have no lines and stay
+near duplicates, and equal ones go only within one document; empty lines never go; NULL texts have no lines and stay
 as they are; rows with the same doc_id and text are treated alike and count as one; a NULL doc_id comes after all others; a document whose
 lines all occurred before is dropped by dedup_lines(), one without lines to lose is not touched; an empty table gives an empty result;
 further columns are kept by dedup_lines() and ignored otherwise.
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import _power_tables, bucket_keys, fitting_partitions, mix, written
+from quillgraph.llm.common import _power_tables, bucket_keys, free_names, mix, size_buckets, written
 
 EDITS = 2
 MIN_BYTES = 20
@@ -105,8 +106,10 @@ def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def candidates(key: np.ndarray, line: np.ndarray, sig: np.ndarray, indexed: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of line hashes that share a key, at least one of them by an index key, with signatures near enough."""
-    order = np.lexsort((~indexed, key))
+    """Pairs of hashes of different lines that share a key, at least one of them by an index key, with signatures near enough; a pair may come again for another key."""
+    order = np.lexsort((~indexed, line, key))
+    order = order[np.r_[True, (key[order[1:]] != key[order[:-1]]) | (line[order[1:]] != line[order[:-1]])]] if len(order) else order
+    order = order[np.lexsort((~indexed[order], key[order]))]
     key, line, sig, indexed = key[order], line[order], sig[order], indexed[order]
     start, size = runs(key)
     n_index = np.add.reduceat(indexed.astype(np.int64), np.stack([start, start + size], axis=1).ravel().clip(max=len(key) - 1))[::2] if len(start) else np.empty(0, np.int64)
@@ -125,8 +128,6 @@ def candidates(key: np.ndarray, line: np.ndarray, sig: np.ndarray, indexed: np.n
         a = np.repeat(left[lo:hi], m)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(m) - m, m)
         lo = hi
-        good = line[a] != line[b]
-        a, b = a[good], b[good]
         good = apart(sig[a], sig[b]) <= 2 * k
         x, y = line[a[good]], line[b[good]]
         yield np.minimum(x, y), np.maximum(x, y)
@@ -208,7 +209,7 @@ def _blocks(lines: list[bytes], k: int, buckets: int) -> Iterator[tuple[int, byt
 
 def candidate_pairs(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
     """Distinct pairs (a, b) of hashes of lines that may be near, a < b."""
-    buckets = fitting_partitions(docs.sparkSession)
+    buckets = size_buckets(docs)
     places = bucket_keys(buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,9 +232,10 @@ def candidate_pairs(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
                 words = np.frombuffer(raw, np.uint64, 3 * size)
                 parts.append((words[:size], words[size : 2 * size].view(np.int64), words[2 * size :], np.frombuffer(raw, bool, size, 24 * size)))
         if parts:
-            found = list(candidates(*(np.concatenate(x) for x in zip(*parts)), k))
-            if found:
-                pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)], axis=1), axis=0)
+            columns = [np.concatenate(x) for x in zip(*parts)]
+            parts.clear()
+            for found in candidates(*columns, k):
+                pairs = np.unique(np.stack(found, axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     blocks = docs.where(F.col("text").isNotNull()).select("text").mapInArrow(emit, "bucket int, block binary")
@@ -301,13 +303,10 @@ def in_documents(marked: DataFrame) -> DataFrame:
     return by_line.select("doc_id", "tie", "h", "short", F.size("at").alias("seen"), F.when(stays, F.col("at")[0]).alias("first"), F.when(stays, F.slice("at", 2, F.size("at"))).otherwise(F.col("at")).alias("gone"))
 
 
-def duplicate_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES, short_repeats: bool = False) -> DataFrame:
-    """(doc_id, tie, line, kept_doc_id, kept_line, distance): every line that goes, with the first line that it is a duplicate of. Lines of
-    fewer than min_bytes bytes only with short_repeats: those that are equal to an earlier line of their document, with its first such line."""
-    marked = marked_lines(docs, k, min_bytes)
-    if not short_repeats:
-        return marked.where(~F.col("short")).drop("short", "h", "home")
-    marked = written(marked, "marked-lines")
+def duplicate_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """(doc_id, tie, line, kept_doc_id, kept_line, distance): every line that goes, with the first line that it is a duplicate of. Of lines of
+    fewer than min_bytes bytes those go that are equal to an earlier line of their document, with its first such line."""
+    marked = written(marked_lines(docs, k, min_bytes), "marked-lines")
     short = marked.where("short")
     # the first of all is unmarked, but it is the line that the others are marked with
     at_home = short.where("home").drop("short", "h", "home")
@@ -322,12 +321,14 @@ def dedup_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) ->
     by_line = in_documents(marked_lines(docs, k, min_bytes).repartition("doc_id", "tie"))
     gone = by_line.groupBy("doc_id", "tie").agg(F.flatten(F.collect_list("gone")).alias("__gone"), F.sum("seen").alias("__seen"), F.bool_or(~F.col("short")).alias("__long"))
     gone = gone.where(F.size("__gone") > 0).select(F.col("doc_id").alias("__gone_id"), F.col("tie").alias("__gone_tie"), "__gone", "__seen", "__long")
-    keyed = docs.withColumns({"__tie": F.xxhash64("text"), "__id": F.col("doc_id").cast("long")})
-    joined = keyed.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__tie") == F.col("__gone_tie")), "left")
-    hit = F.col("__gone").isNotNull()
+    names = ["__gone_id", "__gone_tie", "__gone", "__seen", "__long"]
+    gone_id, gone_tie, gone_lines, seen, has_long = own = free_names(docs, *names)
+    gone = gone.toDF(*own)
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col(gone_id)) & (F.xxhash64(docs["text"]) == F.col(gone_tie)), "left")
+    hit = F.col(gone_lines).isNotNull()
     lines = F.split("text", "\n")
-    out = joined.where(~hit | ~F.col("__long") | (F.size(F.filter(lines, lambda x: F.octet_length(x) > 0)) > F.col("__seen")))
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
+    out = joined.where(~hit | ~F.col(has_long) | (F.size(F.filter(lines, lambda x: F.octet_length(x) > 0)) > F.col(seen)))
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone_lines, i)), "\n")
     out = out.withColumn("text", F.when(hit, left).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
@@ -336,7 +337,7 @@ def dedup_lines(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) ->
 
 SQL = f"""
 WITH rows AS (SELECT DISTINCT doc_id, text FROM {{docs}} WHERE text IS NOT NULL),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS part, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM rows),
+lines AS (SELECT doc_id, hash(text) AS tie, unnest(string_split(text, chr(10))) AS part, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM rows),
 l AS (SELECT * FROM lines WHERE strlen(part) >= {MIN_BYTES}),
 d AS (SELECT part, strlen(part) AS n, min({{{{'a': doc_id, 'b': line}}}}) AS first FROM l GROUP BY part),
 near AS (SELECT x.part, min({{{{'a': y.first, 'b': levenshtein(x.part, y.part)}}}}) AS best
@@ -347,4 +348,7 @@ SELECT l.doc_id, CAST(l.line AS INT) AS line,
   CAST(CASE WHEN near.best.a < d.first THEN near.best.b ELSE 0 END AS INT) AS distance
 FROM l JOIN d USING (part) LEFT JOIN near USING (part)
 WHERE near.best.a < d.first OR {{{{'a': l.doc_id, 'b': l.line}}}} > d.first
+UNION ALL
+SELECT doc_id, CAST(line AS INT), doc_id, CAST(first AS INT), 0
+FROM (SELECT *, min(line) OVER (PARTITION BY doc_id, tie, part) AS first FROM lines WHERE strlen(part) BETWEEN 1 AND {MIN_BYTES - 1}) WHERE line > first
 """

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import bucket_keys, mix, size_buckets, word_hashes, written
+from quillgraph.llm.common import bucket_keys, free_names, mix, size_buckets, word_hashes, written
 from quillgraph.scratch import discard
 
 N = 4
@@ -587,9 +587,10 @@ def repeats(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
 
 def dedup_documents(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
     """docs with one document of each group, that with the least doc_id. Texts of one doc_id are judged each on its own, equal rows alike; rows without id or text stay."""
-    gone = written(repeats(docs, n, t).select(F.col("doc_id").alias("__ngram_gone"), F.col("tie").alias("__ngram_tie")), "ngram-gone")
+    gone_id, gone_tie = free_names(docs, "__gone_id", "__gone_tie")
+    gone = written(repeats(docs, n, t).select(F.col("doc_id").alias(gone_id), F.col("tie").alias(gone_tie)), "ngram-gone")
     small = gone.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if small else gone, (docs["doc_id"].cast("long") == F.col("__ngram_gone")) & (F.xxhash64(docs["text"]) == F.col("__ngram_tie")), "left_anti")
+    return docs.join(F.broadcast(gone) if small else gone, (docs["doc_id"].cast("long") == F.col(gone_id)) & (F.xxhash64(docs["text"]) == F.col(gone_tie)), "left_anti")
 
 
 def sql(docs: str = "documents", n: int = N, t: float = THRESHOLD) -> str:

@@ -93,8 +93,12 @@ def brute_lines(pairs, k, least):
     return out
 
 
+def line_at(pairs, r):
+    return max((t.split("\n")[r.line].encode() for i, t in pairs if i == r.doc_id and t is not None and t.count("\n") >= r.line), key=len)
+
+
 def test_line_dedup_against_all_pairs(docs, line_docs):
-    got = {(r.doc_id, r.line): (r.kept_doc_id, r.kept_line) for r in line_dedup.duplicate_lines(docs(line_docs)).collect()}
+    got = {(r.doc_id, r.line): (r.kept_doc_id, r.kept_line) for r in line_dedup.duplicate_lines(docs(line_docs)).collect() if len(line_at(line_docs, r)) >= line_dedup.MIN_BYTES}
     want = brute_lines([p for p in line_docs if p[0] != 7] + [p for p in line_docs if p[0] == 7], 2, line_dedup.MIN_BYTES)
     assert set(got) == set(want) and len(got) > 20
     assert {k: v for k, v in got.items() if k[0] != 7} == {k: v for k, v in want.items() if k[0] != 7}
@@ -132,8 +136,31 @@ def test_short_repeats_against_counting(docs, line_docs):
     for i, t in pairs:
         lines = (t or "").split("\n")
         want |= {(i, n): (i, lines.index(x), 0) for n, x in enumerate(lines) if 0 < len(x.encode()) < line_dedup.MIN_BYTES and lines.index(x) < n}
-    got = {(x.doc_id, x.line): (x.kept_doc_id, x.kept_line, 0) for x in line_dedup.duplicate_lines(docs(pairs), short_repeats=True).collect()}
-    assert got == want and len(got) > len(line_dedup.duplicate_lines(docs(pairs)).collect())
+    got = {(x.doc_id, x.line): (x.kept_doc_id, x.kept_line, 0) for x in line_dedup.duplicate_lines(docs(pairs)).collect()}
+    assert got == want and sum(k[0] is not None and k[0] >= 1000 for k in got) > 20
+
+
+def test_a_line_of_very_many_batches_is_paired_once():
+    """Entries of one line from 100,000 blocks, and of one near line."""
+    lines = [b"the line that stands in every document", b"the line that stands in every documend"]
+    n = np.array([len(x) for x in lines])
+    data, start = np.frombuffer(b"".join(lines), np.uint8), np.array([0, len(lines[0])])
+    index, at, probe, probe_at = line_dedup.keys(data, start, n, 2)
+    sig = line_dedup.signatures(data, start, n)
+    key, line = np.concatenate([index, probe]), np.concatenate([at, probe_at])
+    mark = np.arange(len(key)) < len(index)
+    often = np.r_[np.tile(np.flatnonzero(line == 0), 100_000), np.flatnonzero(line == 1)]
+    pairs = [np.stack(x, axis=1) for x in line_dedup.candidates(key[often], line[often].astype(np.int64), sig[line[often]], mark[often], 2)]
+    assert sum(map(len, pairs)) <= 3 and np.unique(np.concatenate(pairs), axis=0).tolist() == [[0, 1]]
+
+
+def test_columns_with_the_names_that_are_used_inside(docs):
+    texts = [(1, "the first line of all, long enough\nown"), (2, "the first line of all, long enough\nother"), (3, "one two three four five"), (4, "one two three four five")]
+    more = docs(texts).selectExpr("*", "'a' as __gone", "'b' as __gone_id", "'c' as __TIE", "'d' as __id", "'e' as __gone_tie", "'f' as __seen")
+    out = line_dedup.dedup_lines(more)
+    assert out.columns == more.columns and {(r.doc_id, r.text, r["__gone"], r["__gone_id"], r["__TIE"]) for r in out.collect()} == {(1, texts[0][1], "a", "b", "c"), (2, "other", "a", "b", "c"), (3, texts[2][1], "a", "b", "c")}
+    out = ngram_join.dedup_documents(more)
+    assert out.columns == more.columns and {(r.doc_id, r["__gone_id"], r["__gone_tie"]) for r in out.collect()} >= {(1, "b", "e"), (3, "b", "e")} and out.count() == 2
 
 
 @pytest.fixture(scope="module")
