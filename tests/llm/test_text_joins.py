@@ -26,6 +26,35 @@ def test_bucket_keys_fill_all_partitions(spark):
     assert {(r.b, r.p) for r in df.collect()} == {(b, b) for b in range(13)}
 
 
+def brute_licenses(texts, templates=license_scan.TEMPLATES, t=license_scan.THRESHOLD):
+    """(doc_id, block, lines, license, shared) by trying every block."""
+    want = []
+    sets = {(name, tuple(sorted(set(words_of(notice))))) for name, notice in templates}
+    for i, text in texts:
+        lines = [] if text is None else text.split("\n")
+        wide = [len(x.lower().encode()) > license_scan.WIDTH for x in lines]
+        for name, tokens in sets:
+            good = set()
+            for b in range(len(lines)):
+                held = set()
+                for e in range(b, min(len(lines), b + license_scan.LINES)):
+                    if e > b and (wide[b] or wide[e]):
+                        break
+                    held |= set(words_of(lines[e])) & set(tokens)
+                    if tokens and len(held) >= t * len(tokens) - 1e-9:
+                        good.add((b, e, len(held)))
+            least = [(b, e, n) for b, e, n in good if not any((x, y) != (b, e) and b <= x and y <= e for x, y, _ in good)]
+            want += [(i, b, e - b + 1, name, n, round(n / len(tokens), 6)) for b, e, n in least]
+    return sorted(want, key=repr)
+
+
+def found_licenses(df, rows):
+    return rows(df.select("doc_id", "block", "lines", "license", "shared", "containment"))
+
+
+GRANT = "/*\n * Permission is hereby granted, free of charge, to any person obtaining a\n * copy of this software and associated documentation files (the \"Software\")\n */\nint main"
+
+
 def test_license_scan_against_counting(docs, rows):
     texts = [
         (1, f"text\n{MIT}\nreleased under an MIT license: the one"),
@@ -36,29 +65,45 @@ def test_license_scan_against_counting(docs, rows):
         (None, MIT),
         (5, "word " * 3000 + MIT),
         (6, "this license is the usual one\nreleased the"),
+        (7, GRANT),
+        (8, "all\nrights\n\n\n\n\n\nreserved\nrights\nall"),
+        (9, "all rights\n" + "x" * 200 + "\nreserved"),
+        (10, "all rights\n" + "x" * 160 + "\nreserved"),
+        (11, "all rights\n" + "x\n" * 7 + "reserved"),
     ]
-    got = rows(license_scan.scan(docs(texts)).select("doc_id", "block", "license", "shared", "containment"))
-    want = []
-    for i, t in texts:
-        for n, line in enumerate((t or "").split("\n")):
-            held = set(words_of(line))
-            for name, notice in license_scan.TEMPLATES:
-                tokens = set(words_of(notice))
-                if len(held & tokens) >= 0.8 * len(tokens) - 1e-9:
-                    want.append((i, n, name, len(held & tokens), round(len(held & tokens) / len(tokens), 6)))
-    assert got == sorted(want, key=repr) and len(want) == 6
+    got = found_licenses(license_scan.scan(docs(texts)), rows)
+    assert got == brute_licenses(texts) and {x[:4] for x in got if x[2] > 1} == {(7, 1, 2, "MIT"), (8, 0, 8, "proprietary"), (8, 7, 3, "proprietary"), (10, 0, 3, "proprietary")}
     assert license_scan.scan(docs([])).count() == 0
 
 
-def test_license_scan_by_shuffle_is_the_same(docs, rows, monkeypatch):
+def test_license_scan_of_random_lines(docs, rows, spark):
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    some = lambda n: " ".join(r.choice(words) for _ in range(n))
+    templates = [(f"L{i % 4}", some(r.randint(1, 9))) for i in range(9)] + [("none", "..."), ("L0", "w1 w2")]
+    texts = [(i, "\n".join(some(r.randint(0, 4)) + " y" * r.choice([0, 0, 0, 90]) for _ in range(r.randint(1, 15)))) for i in range(60)]
+    frame = spark.createDataFrame(templates, "license string, notice string")
+    want = brute_licenses(texts, templates)
+    assert found_licenses(license_scan.scan(docs(texts), frame), rows) == want and len(want) > 200 and sum(x[2] > 1 for x in want) > 50
+
+
+def test_license_scan_in_parts_is_the_same(docs, rows, monkeypatch):
     texts = [(i, random.Random(i).choice([MIT, "All rights reserved.", "nothing here", "licensed under the CC BY-NC 4.0 terms"])) for i in range(20)]
-    few = rows(license_scan.scan(docs(texts)))
-    monkeypatch.setattr(license_scan, "BROADCAST_TEMPLATES", 0)
-    assert rows(license_scan.scan(docs(texts))) == few
+    one = rows(license_scan.scan(docs(texts)))
+    monkeypatch.setattr(license_scan, "PART_TOKENS", 40)
+    assert rows(license_scan.scan(docs(texts))) == one
     empty = docs(texts).sparkSession.createDataFrame([("none", "...")], "license string, notice string")
     assert license_scan.scan(docs(texts), empty).count() == 0
 
 
+def test_license_scan_of_ten_thousand_templates(docs, spark):
+    r = random.Random(2)
+    templates = [(f"L{i}", " ".join(f"t{r.randrange(50_000)}" for _ in range(60))) for i in range(10_000)]
+    texts = [(i, "some words before\n" + templates[i * 7][1].replace(" ", "\n", 5)) for i in range(40)]
+    got = license_scan.scan(docs(texts), spark.createDataFrame(templates, "license string, notice string")).collect()
+    assert {(x.doc_id, x.license) for x in got} == {(i, f"L{i * 7}") for i in range(40)}
+
+
 def edited(r, text, n):
     b = list(text)
     for _ in range(n):
