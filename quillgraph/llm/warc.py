@@ -8,8 +8,8 @@ way inside, wherever its first version line is. If such a member fails its own c
 rest is a gap: after wrong data or a wrong CRC those whose digest holds, in a member cut short all good ones. A member that gives
 one record and nothing else is good by its own check only.
 
-Archives come as rows (shard, content), from read_archives() or write_archives(); each row is read on its own, so archives spread over all
-tasks. Splitting very large archives into rows at any place is safe only at record limits.
+Archives come as rows (shard, content), from read_archives() or write_archives(), or as files of any size, which read_files() streams through windows; each
+archive is read on its own, so archives spread over all tasks. Records leave a task as they are read. The time taken is in proportion to an archive's size.
 
 Defined results: a record is one row with begin and end (bytes in the archive), inner (bytes inside a member that holds several, else 0), its
 type, target, page id and payload; a gap is one row with its begin, end and reason. A NULL content has no rows, an empty one neither; repeated
@@ -21,9 +21,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -96,15 +97,19 @@ def plain_record(data: bytes, at: int) -> Record:
 
 
 def member(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at a place; raises Damaged."""
-    inflate = zlib.decompressobj(31)
-    try:
-        out = inflate.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        raise Damaged(f"gzip: {str(e).rpartition(': ')[2]}") from None
-    if not inflate.eof:
-        raise Damaged(_CUT)
-    return out, len(data) - len(inflate.unused_data)
+    """Content and end of the gzip member at a place; raises Damaged. It is read in pieces: zlib copies what lies behind a member's end."""
+    inflate, view, out, lo, size = zlib.decompressobj(31), memoryview(data), [], at, _PIECE
+    while lo < len(data):
+        piece = view[lo : lo + size]
+        try:
+            out.append(inflate.decompress(piece))
+        except zlib.error as e:
+            raise Damaged(f"gzip: {str(e).rpartition(': ')[2]}") from None
+        lo += len(piece)
+        if inflate.eof:
+            return b"".join(out), lo - len(inflate.unused_data)
+        size = min(2 * size, 1 << 20)
+    raise Damaged(_CUT)
 
 
 def inflated(data: bytes, at: int) -> bytes:
@@ -212,6 +217,34 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         at = end
 
 
+#: Failures that more bytes could mend.
+_OPEN = {_CUT, "cut short", "headers without end", "member without a record"}
+WINDOW = 64 << 20
+MOST = 1 << 30
+
+
+def salvage_stream(more: Callable[[int], bytes], window: int = WINDOW, most: int = MOST) -> Iterator[Record | Gap]:
+    """salvage() of an archive of any size, of which more(n) gives the next bytes, none at the end. What could still change with the bytes to come is read again with
+    them; but a failure stands once ``most`` bytes behind its begin are there, so a record or member of more than that is a gap."""
+    base, data, over = 0, b"", False
+    while not over:
+        added = more(max(window, len(data)))  # a long record is read in doubling steps
+        over = not added
+        data += added
+        done = 0
+        for begin, group in itertools.groupby(salvage(data), key=lambda x: x.begin):
+            found = list(group)
+            gaps = [x for x in found if isinstance(x, Gap)]
+            end = found[-1].end
+            if gaps and not over and len(data) - begin < most and (end >= len(data) or any(x.reason in _OPEN for x in gaps)):
+                break
+            done = end
+            for x in found:
+                x.begin, x.end = x.begin + base, x.end + base
+                yield x
+        base, data = base + done, data[done:]
+
+
 def page_bytes(page_id: int | None, url: str | None, html: str | None) -> bytes:
     """One response record."""
     block = (html or "").encode("utf-8", "surrogatepass")
@@ -262,10 +295,26 @@ def write_archives(pages: DataFrame, records: int = SHARD_RECORDS, damage_every:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, content) of the files of a path."""
+    """(shard, content) of the files of a path, of up to 2 GB each; read_files() has no such bound."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("shard"), "content")
 
 
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """Records and gaps of the archives of a path, as read() gives them. A task streams its files through windows, so an archive may be larger than a row can be."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("shard"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for shard in batch.column("shard").to_pylist():
+                system, place = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", shard).replace(" ", "%20"))
+                with system.open_input_file(place) as f:
+                    yield from _batches(shard, salvage_stream(f.read))
+
+    return files.mapInArrow(run, SCHEMA)
+
+
 def _row(shard: str, x: Record | Gap) -> tuple:
     if isinstance(x, Gap):
         return "gap", shard, x.begin, x.end, x.inner, None, None, None, None, x.reason
@@ -275,17 +324,29 @@ def _row(shard: str, x: Record | Gap) -> tuple:
     return "record", shard, x.begin, x.end, x.inner, kind, x.headers.get("warc-target-uri"), int(page) if re.fullmatch(r"-?\d{1,18}", page) else None, payload, None
 
 
+_TYPES = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+BATCH_BYTES = 16 << 20
+
+
+def _batches(shard: str, found: Iterator[Record | Gap]) -> Iterator[pa.RecordBatch]:
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    rows, size = [], 0
+    for x in found:
+        rows.append(_row(shard, x))
+        size += 256 + (len(x.block) if isinstance(x, Record) else 0)
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=names)
+            rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=names)
+
+
 def read(archives: DataFrame) -> DataFrame:
     """Records and gaps of all archives."""
-    types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                content = batch.column("content")[i].as_py()
-                rows = [_row(batch.column("shard")[i].as_py(), x) for x in salvage(content or b"")]
-                for lo in range(0, len(rows), 1024):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo : lo + 1024]), types)], names=names)
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
+                yield from _batches(shard, salvage(content.as_py() or b""))
 
     return archives.select("shard", "content").mapInArrow(run, SCHEMA)

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 from quillgraph.llm import warc
@@ -51,6 +52,54 @@ def test_every_record_survives_any_single_hit():
             assert sum(x.end - x.begin for x in found) == len(data)
 
 
+def test_members_of_several_records_hit_at_every_byte():
+    """Brute force: what is read is what was written, and all records that lie in the unchanged front of the content are read."""
+    content, packed = A + B + C, gz(A + B + C)
+    ends = [len(A), len(A + B), len(content)]
+    for at in range(len(packed)):
+        hit = bytearray(packed)
+        hit[at] ^= 0x41
+        inflate, front = zlib.decompressobj(31), b""
+        try:
+            for i in range(len(hit)):
+                front += inflate.decompress(bytes(hit[i : i + 1]))
+        except zlib.error:
+            pass
+        same = next((i for i, (x, y) in enumerate(zip(front, content)) if x != y), min(len(front), len(content)))
+        found = [x for x in warc.salvage(bytes(hit) + gz(A)) if isinstance(x, warc.Record)]
+        blocks = {x.headers.get("x-page-id"): x.block for x in found}
+        assert all(warc.page_bytes(int(i), f"http://x/{i}", b.decode()) in content for i, b in blocks.items() if i)
+        assert found[-1].begin == len(hit) and [x.inner for x in found[:-1]][: sum(e <= same for e in ends)] == [0, *ends][: sum(e <= same for e in ends)]
+
+
+def test_streams_give_the_same_in_any_window():
+    r = random.Random(3)
+    pages = [warc.page_bytes(i, "u", "text " * r.randrange(200)) for i in range(40)]
+    parts = [warc.damage(gz(x) if r.random() < 0.5 else x, i, False, 5) for i, x in enumerate(pages)] + [gz(b"".join(pages[:5])), gz(b"".join(pages[5:9]))[:-9], b"junk", gz(pages[0]), b"tail"]
+    data = b"".join(parts)
+    want = [(type(x), x.begin, x.end, x.inner, getattr(x, "reason", None)) for x in warc.salvage(data)]
+    for window in (100, 1000, 7000, 1 << 20):
+        left = [data]
+
+        def more(n):
+            out, left[0] = left[0][:n], left[0][n:]
+            return out
+
+        assert [(type(x), x.begin, x.end, x.inner, getattr(x, "reason", None)) for x in warc.salvage_stream(more, window)] == want
+
+
+def test_time_is_in_proportion_to_size():
+    page = gz(warc.page_bytes(1, "u", random.Random(1).randbytes(3000).hex()))
+
+    def seconds(n):
+        data, begun = page * n, time.process_time()
+        assert sum(1 for _ in warc.salvage(data)) == n
+        return time.process_time() - begun
+
+    seconds(100)
+    assert seconds(16_000) < 16 * max(0.05, seconds(2_000))  # 8 times the size
+
+
 def test_members_whose_first_version_line_is_not_in_front():
     for junk in (b"\r\n", b"junk", b"WARX/1.1\r\n" + A[10:], bytes(3)):
         found = list(warc.salvage(gz(junk + B + C)))
@@ -98,3 +147,5 @@ def test_tables(spark, tmp_path):
     assert warc.read(spark.createDataFrame([("a", None), ("b", bytearray())], "shard string, content binary")).count() == 0
     (tmp_path / "a.warc").write_bytes(A + B)
     assert warc.read(warc.read_archives(spark, str(tmp_path))).count() == 2
+    (tmp_path / "b c.warc.gz").write_bytes(gz(A) + b"junk" + gz(B))
+    assert sorted(map(repr, warc.read_files(spark, str(tmp_path)).collect())) == sorted(map(repr, warc.read(warc.read_archives(spark, str(tmp_path))).collect()))
