@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from quillgraph.llm import toxicity
+from quillgraph.llm.common import word_hashes, words_of
 from tests.llm.conftest import SCHEMA
 
 
@@ -55,6 +56,75 @@ def test_toxicity_edges(spark, docs):
     assert one[0] == pytest.approx(long[0])
 
 
+def plain_score(m, text):
+    """The classifier by loops over places, filters and words."""
+    words = words_of(text)
+    empty = np.zeros(2 * toxicity.DIM)
+    rows = []
+    for w in words:
+        h, p = word_hashes(w.encode())[0][0], word_hashes(w.encode(), toxicity.PREFIX)[0][0]
+        rows.append(np.concatenate([m.word[1 + int(h % np.uint64(toxicity.WORDS))], m.prefix[1 + int(p % np.uint64(toxicity.PREFIXES))]]))
+    rows += [empty] * toxicity.PAD
+    pooled = []
+    for width in toxicity.WIDTHS:
+        for f in range(toxicity.FILTERS):
+            best = 0.0
+            for at in range(len(rows)):
+                held = [rows[at + j] if at + j < len(rows) else empty for j in range(width)]
+                best = max(best, m.bias[width][f] + sum(float(held[j] @ m.filters[width][j][:, f]) for j in range(width)))
+            pooled.append(best)
+    return 1 / (1 + np.exp(-(np.array(pooled) @ m.out + m.offset)))
+
+
+def test_scores_against_loops(corpus):
+    _, rows = corpus
+    texts = [t for i, t, *_ in rows if i < 120]
+    m = toxicity.train(texts, np.array([int(i % 6 == 0) for i in range(120)]))
+    some = [*texts[:8], "", "one", "two words", "vilebrat " * 30, "É-x vilebrats"]
+    assert toxicity.scores(m, some) == pytest.approx([plain_score(m, t) for t in some], abs=1e-5)
+
+
+def test_training_learns_what_the_prior_cannot():
+    """Toxic is a pair of neighbouring words in one order; each word alone, and the pair turned round, is harmless."""
+    r = random.Random(1)
+    texts, y = [], []
+    for i in range(1600):
+        w = [f"w{r.randrange(40)}" for _ in range(r.randint(8, 20))]
+        at = r.randrange(len(w))
+        w[at:at] = ["red", "fox"] if i % 2 else ["fox", "red"]
+        texts.append(" ".join(w))
+        y.append(i % 2)
+    y = np.array(y)
+
+    def right(epochs):
+        m = toxicity.train(texts[:1200], y[:1200], epochs)
+        s = toxicity.scores(m, texts[1200:])
+        order = np.argsort(s)
+        rank = np.empty(len(s))
+        rank[order] = np.arange(len(s))
+        pos = y[1200:] == 1
+        return (rank[pos].mean() - (pos.sum() - 1) / 2) / (~pos).sum()  # area under the curve
+
+    assert right(0) < 0.65 and right(toxicity.EPOCHS) > 0.9
+
+
+def test_bounds_of_the_sample(spark, docs):
+    frame = docs([(i, f"text {i} " * 10) for i in range(50)] + [(3, "other text of it"), (4, None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, 0), (None, 1), (7, None)], "doc_id long, toxic int")
+    assert toxicity.labelled(frame, labels).count() == 51 and toxicity.labelled(frame, labels, rows=20).count() <= 20
+    some = toxicity.labelled(frame, labels, most=500).collect()
+    assert 0 < len(some) and sum(len(r.text.encode()) for r in some) <= 500
+
+
+def test_columns_of_the_same_names_are_kept(corpus, spark):
+    d, rows = corpus
+    frame = spark.read.parquet(f"{d}/documents.parquet").selectExpr("*", "doc_id * 0.5 as tox_score", "'x' as TOX_FLAG")
+    out = toxicity.filter_toxic(frame, spark.read.parquet(f"{d}/labels.parquet"))
+    assert out.columns == frame.columns
+    got = out.collect()
+    assert 400 < len(got) < len(rows) and all(r.tox_score == r.doc_id * 0.5 and r["TOX_FLAG"] == "x" for r in got)
+
+
 def test_pipeline_against_brute_force(spark, corpus):
     d, rows = corpus
     docs = spark.read.parquet(f"{d}/documents.parquet")
