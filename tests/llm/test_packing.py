@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -28,7 +30,13 @@ def test_harmonic_bins(docs):
 
 def test_harmonic_shards(docs):
     rows = harmonic.pack(docs([(i, "w w") for i in range(30)]), capacity=4, shard_rows=10).collect()
-    assert {r.shard for r in rows} == {0, 1, 2} and len({(r.shard, r.bin) for r in rows}) == 15
+    of = {i: int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 3 for i in range(30)}
+    assert {r.doc_id: r.shard for r in rows} == of
+    for s in range(3):
+        own = sorted(i for i in of if of[i] == s)
+        assert [(r.bin, r.slot) for i in own for r in rows if r.doc_id == i] == [(k // 2, k % 2) for k in range(len(own))]
+    same = harmonic.pack(docs([(3 * i, "w") for i in range(60)] + [(None, f"w {i}") for i in range(60)]), shard_rows=40).collect()
+    assert {r.shard for r in same if r.doc_id is None} == {r.shard for r in same if r.doc_id is not None} == {0, 1, 2}
 
 
 @given(st.lists(st.integers(1, 20), max_size=60), st.just(20))
