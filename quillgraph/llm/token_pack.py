@@ -12,7 +12,7 @@ One row is one sequence of the packed id matrix: ``input_ids`` and ``position_id
 (``id_bytes`` bytes each), padded with the end-of-text id and position 0; ``cu_seqlens`` holds the cumulative segment lengths, from 0 to ``used``; positions start at 0 in every segment.
 ``doc_ids`` and ``doc_starts`` say which document and which token of it a segment begins with, so that every document can be put together again.
 
-Defined results: a NULL text yields nothing; an empty text yields its end-of-text id; a NULL doc_id is kept as NULL in doc_ids;
+Defined results: pieces of one length are packed in the order of their documents; a NULL text yields nothing; an empty text yields its end-of-text id; a NULL doc_id is kept as NULL in doc_ids;
 repeated rows are packed each; an empty table gives no sequences; further columns are ignored.
 """
 
@@ -27,72 +27,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The pattern of the vocabulary's tokenizer, in the equal form without backtracking into runs.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+LONG = 1024
+_RUN = re.compile(f"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG},}}")
 END_OF_TEXT = 50256
 SEQ_LEN = 2048
 POOL_TOKENS = 1 << 21
-CACHE = 200_000
-ROWS = 512
 SCHEMA = "input_ids binary, position_ids binary, id_bytes int, used int, cu_seqlens array<int>, doc_ids array<long>, doc_starts array<int>"
 
 
 class Encoder:
-    """Encodes texts word by word through a cache.
-
-    A text may be cut before a single space between two characters that aren't white space: there every match of PATTERN
-    begins anew. Texts with other white space around a space are cut only at such places.
-    """
+    """Encodes whole texts. A run of LONG or more white-space characters, for which the tokenizer's regular expression would run out of stack, is one match
+    by itself, but for its last character if a word follows, which the match behind begins with."""
 
     def __init__(self, ranks: dict[bytes, int], end: int = END_OF_TEXT) -> None:
         import tiktoken
 
-        self.encode = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        # a special token that is never allowed: with none the library looks for an empty text at every place
+        self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={"<|end|>": max(max(ranks.values()), end) + 1})
         self.dtype = np.dtype("<u2" if max(max(ranks.values()), end) < 1 << 16 else "<u4")
-        self.end = np.array([end], self.dtype).tobytes()
-        self.words: dict[str, bytes | None] = {}
-        self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
-        for piece, rank in ranks.items():
-            self.bytes_of[rank] = len(piece)
-
-    def learn(self, texts: list[str]) -> None:
-        """Encodes the new words of many texts in one go; byte lengths tell where a word's ids end."""
-        new: set[str] = set()
-        for t in texts:
-            new.update(t.split(" ")[1:])
-        missing = {w for w in new if w not in self.words}
-        if len(self.words) + len(missing) > CACHE:
-            self.words.clear()
-            missing = new
-        plain = []
-        for w in missing:
-            if not w or w[0].isspace() or w[-1].isspace():
-                self.words[w] = None
-            else:
-                plain.append(w)
-        for lo in range(0, len(plain), 4096):
-            part = plain[lo : lo + 4096]
-            ids = np.array(self.encode(" " + " ".join(part)), self.dtype)
-            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(w.encode()) + 1 for w in part])) + 1
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(part, (ends * self.dtype.itemsize).tolist()):
-                self.words[w] = raw[start:end]
-                start = end
-
-    def unit(self, text: str) -> bytes:
-        return np.array(self.encode(text), self.dtype).tobytes()
+        self.end = np.array([end], np.uint32)
+
+    def parts(self, text: str) -> Iterator[np.ndarray]:
+        begin = 0
+        for run in _RUN.finditer(text) if len(text) >= LONG else ():
+            stop = run.end() if run.end() == len(text) else run.end() - 1
+            yield self.plain(text[begin : run.start()])
+            yield np.array(self.bpe._encode_single_piece(text[run.start() : stop]), np.uint32)
+            begin = stop
+        yield self.plain(text[begin:] if begin else text)
+
+    def plain(self, text: str) -> np.ndarray:
+        return self.bpe.encode_to_numpy(text, disallowed_special=()) if text else np.empty(0, np.uint32)
 
     def __call__(self, text: str) -> np.ndarray:
-        first, *rest = text.split(" ")
-        words = self.words
-        if any(w not in words for w in rest):
-            self.learn([text])
-        try:
-            if rest and (not first or first[-1].isspace()):
-                raise TypeError
-            out = self.unit(first) + b"".join(map(words.__getitem__, rest))
-        except TypeError:
-            out = b"".join(self.unit(x) for x in re.split(r"(?<=\S)(?= \S)", text))
-        return np.frombuffer(out + self.end, self.dtype)
+        return np.concatenate([*self.parts(text), self.end]).astype(self.dtype)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -183,17 +153,13 @@ def pack_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, seq_len: int = SE
         pool: list[tuple[int | None, np.ndarray]] = []
         held = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
-                texts = part.column(1).to_pylist()
-                encode.learn(texts)
-                for doc_id, text in zip(part.column(0).to_pylist(), texts):
-                    ids = encode(text)
-                    pool.append((doc_id, ids))
-                    held += len(ids)
-                    if held >= pool_tokens:
-                        yield sequences(pool, seq_len, end)
-                        pool, held = [], 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = encode(text.as_py())
+                pool.append((doc_id, ids))
+                held += len(ids)
+                if held >= pool_tokens:
+                    yield sequences(pool, seq_len, end)
+                    pool, held = [], 0
         if pool:
             yield sequences(pool, seq_len, end)
 
@@ -208,8 +174,3 @@ def unpack(rows: list[dict]) -> dict[int | None, np.ndarray]:
         for d, start, a, b in zip(r["doc_ids"], r["doc_starts"], r["cu_seqlens"], r["cu_seqlens"][1:]):
             parts.setdefault(d, []).append((start, ids[a:b]))
     return {d: np.concatenate([x for _, x in sorted(p, key=lambda y: y[0])]) for d, p in parts.items()}
-
-
-def write_matrix(rows: DataFrame, path: str) -> None:
-    """Writes the sequences as a table without compression of the binary columns' pages, for readers that map files."""
-    rows.write.mode("overwrite").option("compression", "none").parquet(path)

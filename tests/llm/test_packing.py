@@ -1,7 +1,9 @@
 import hashlib
+import re
 
 import numpy as np
 import pytest
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -60,9 +62,7 @@ TEXTS = [(1, "Hello  world, it's me.\nNew line"), (2, ""), (3, "x " * 300), (4,
 
 
 def test_token_packing_round_trip(docs):
-    import tiktoken
-
-    full = tiktoken.Encoding("t", pat_str=token_pack.PATTERN, mergeable_ranks=token_pack.read_ranks(token_pack.VOCABULARY), special_tokens={})
+    full = tiktoken.Encoding("t", pat_str=OLD, mergeable_ranks=token_pack.read_ranks(token_pack.VOCABULARY), special_tokens={})
     rows = [r.asDict() for r in token_pack.pack_tokens(docs(TEXTS), seq_len=64).collect()]
     got = token_pack.unpack(rows)
     want = {i: [*full.encode_ordinary(t), token_pack.END_OF_TEXT] for i, t in TEXTS if t is not None}
@@ -76,18 +76,57 @@ def test_token_packing_round_trip(docs):
     assert token_pack.pack_tokens(docs([])).count() == 0
 
 
-@given(st.text(alphabet="ab '.,1\n\t é ", max_size=40))
-@settings(max_examples=200, deadline=None)
-def test_word_cache_changes_nothing(text):
-    encode = _encoder()
-    encode.learn([text])
-    assert encode(text)[:-1].tolist() == encode.encode(text)
+OLD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+@given(st.text(alphabet="ab '.,1\n\t é\u2003 '", max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_long_runs_of_white_space_change_nothing(text):
+    encode, plain = _encoders()
+    assert encode(text)[:-1].tolist() == plain(text)
+    run, long = token_pack._RUN, token_pack.LONG
+    try:
+        token_pack._RUN, token_pack.LONG = re.compile(run.pattern.replace("1024", "2")), 2
+        assert encode(text)[:-1].tolist() == plain(text)
+    finally:
+        token_pack._RUN, token_pack.LONG = run, long
 
 
-def _encoder(held=[]):  # noqa: B006
+def _encoders(held=[]):  # noqa: B006
     if not held:
-        held.append(token_pack.Encoder(token_pack.read_ranks(token_pack.VOCABULARY)))
-    return held[0]
+        ranks = token_pack.read_ranks(token_pack.VOCABULARY)
+        held += [token_pack.Encoder(ranks), tiktoken.Encoding("t", pat_str=OLD, mergeable_ranks=ranks, special_tokens={}).encode_ordinary]
+    return held
+
+
+def test_very_long_runs():
+    encode, plain = _encoders()
+    for text in (" " * 500_000 + "x", "a" * 500_000, "x" + "\n \t" * 200_000, "?!" * 100_000):
+        assert encode.bpe.decode(encode(text)[:-1].tolist()) == text
+    assert encode("a<|end|>b<|endoftext|>")[:-1].tolist() == plain("a<|end|>b<|endoftext|>")
+
+
+def test_pools_are_packed_each(docs):
+    """Every sequence holds pieces of one pool only, and a pool isn't larger than its bound and one document."""
+    pairs = [(i, "word " * (i * 7 % 40)) for i in range(200)]
+    frame = docs(pairs).coalesce(1)
+    encode, _ = _encoders()
+    lengths = {i: len(encode(t)) for i, t in pairs}
+    rows = [r.asDict() for r in token_pack.pack_tokens(frame, seq_len=64, pool_tokens=300).collect()]
+    assert {i: len(x) for i, x in token_pack.unpack(rows).items()} == lengths
+    pools, held = [[]], 0
+    for i, _ in pairs:
+        pools[-1].append(i)
+        held += lengths[i]
+        if held >= 300:
+            pools.append([])
+            held = 0
+    of = {i: k for k, p in enumerate(pools) for i in p}
+    assert all(len({of[d] for d in r["doc_ids"]}) == 1 for r in rows) and len(pools) > 5
+    for k, p in enumerate(pools):
+        pieces = np.array([n for i in p for n in [64] * (lengths[i] // 64) + [lengths[i] % 64] if n])
+        got = sorted(r["used"] for r in rows if of[r["doc_ids"][0]] == k)
+        assert got == sorted(int(pieces[b].sum()) for b in token_pack.best_fit(pieces, 64))
 
 
 def test_bad_length(docs):
