@@ -41,7 +41,7 @@ BYTE_SCORE = -12 * SCALE
 SCHEMA = "doc_id long, chunk int, begin int, score long, ids array<int>, exact boolean"
 
 
-SLOT_BITS = 17
+SLOT_BITS = 18
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -85,16 +85,19 @@ class Pieces:
         self.tables()
 
     def tables(self) -> None:
-        """The pieces, and the bytes that stand for ASCII characters without a piece, by the hash of their characters."""
+        """The pieces, and the bytes that stand for ASCII characters without a piece, by the hash of their characters; and what pieces begin with, with id -1."""
         entries = dict(self.ids)
         for c in range(128):
             entries.setdefault(chr(c), (self.byte[c], BYTE_SCORE))
+        for t in self.ids:
+            for n in range(1, len(t)):
+                entries.setdefault(t[:n], (-1, 0))
         codes = [np.array([list(map(ord, t)) for t in entries if len(t) == n], dtype=np.uint64).reshape(-1, n) for n in range(1, self.longest + 1)]
         values = [np.array([v for t, v in entries.items() if len(t) == n], dtype=np.int64).reshape(-1, 2) for n in range(1, self.longest + 1)]
         self.keys, self.values = [], []
         h, v = np.concatenate([_code_hash(c) for c in codes]), np.concatenate(values)
         while len(h):  # what falls on a taken slot goes to the next table
-            slots = (h >> np.uint64(64 - SLOT_BITS * (len(self.keys) + 1))) & np.uint64((1 << SLOT_BITS) - 1)
+            slots = (h >> np.uint64(64 - SLOT_BITS - 15 * len(self.keys))) & np.uint64((1 << SLOT_BITS) - 1)
             _, first = np.unique(slots, return_index=True)
             key, value = np.zeros(1 << SLOT_BITS, np.uint64), np.zeros((1 << SLOT_BITS, 2), np.int32)
             key[slots[first]], value[slots[first]] = h[first], v[first]
@@ -105,14 +108,20 @@ class Pieces:
             h, v = h[rest], v[rest]
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) by hash; id -1 and score LOW where there is none."""
-        ids, scores = np.full(h.shape, -1, np.int32), np.full(h.shape, LOW, np.int64)
+        """(ids, scores) by hash; id -1 where pieces only begin so, -2 where none does."""
+        ids, scores = np.full(len(h), -2, np.int32), np.zeros(len(h), np.int64)
+        rest = np.arange(len(h))
         for k, (key, value) in enumerate(zip(self.keys, self.values)):
-            slots = ((h >> np.uint64(64 - SLOT_BITS * (k + 1))) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-            hit = key[slots] == h
-            if hit.any():
-                got = value[slots[hit]]
-                ids[hit], scores[hit] = got[:, 0], got[:, 1]
+            slots = ((h >> np.uint64(64 - SLOT_BITS - 15 * k)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+            taken = key[slots]
+            hit = taken == h
+            got = value[slots[hit]]
+            at = rest[hit]
+            ids[at], scores[at] = got[:, 0], got[:, 1]
+            other = ~hit & (taken != 0)  # an empty slot says that later tables don't have it either
+            rest, h = rest[other], h[other]
+            if not len(rest):
+                break
         return ids, scores
 
     def decode(self, ids: np.ndarray) -> str:
@@ -157,60 +166,82 @@ class Encoder:
         return out[::-1], best[e]
 
     def learn(self, new: list[str]) -> None:
-        """Puts the best paths of words, each with a space before it, into the cache: one search for all words of one length."""
-        by_length: dict[int, list[str]] = {}
-        for w in new:
-            by_length.setdefault(len(w), []).append(w)
-        for n, group in by_length.items():
-            if n > 64:
-                slow = group
-            else:
-                slow = []
-                for lo in range(0, len(group), 1 << 14):
-                    slow += self.search(group[lo : lo + (1 << 14)], n + 1)
-            for w in slow:
-                ids, score = self.path(" " + w, 0, n + 1, n + 1)
-                self.words[w] = np.array(ids, np.int32).tobytes(), score
-
-    def search(self, group: list[str], n: int) -> list[str]:
-        """learn() for words of n - 1 characters; returns those with a character beyond ASCII that has no piece."""
-        codes = np.frombuffer((" " + " ".join(group)).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n).astype(np.uint64)
-        best = np.full((n + 1, len(group)), LOW, np.int64)
-        best[0] = 0
-        length, ids = np.zeros((n + 1, len(group)), np.int8), np.zeros((n + 1, len(group)), np.int32)
-        hashes = [np.zeros(len(group), np.uint64) for _ in range(n)]
-        found = {}
-        for k in range(1, min(n, self.p.longest) + 1):
-            for s in range(n - k + 1):
-                hashes[s] = _step(hashes[s], codes[:, s + k - 1])
-            block_ids, block_scores = self.p.find(np.stack(hashes[: n - k + 1]))
-            found[k] = block_ids, block_scores
-        odd = (found[1][0] < 0).any(axis=0)
-        for e in range(1, n + 1):
-            for k in range(1, min(e, self.p.longest) + 1):
-                score = best[e - k] + found[k][1][e - k]
-                better = score >= best[e]  # k rises, so of equals the longest piece stays
-                better &= found[k][0][e - k] >= 0
-                best[e][better] = score[better]
-                length[e][better] = k
-                ids[e][better] = found[k][0][e - k][better]
-        out = np.full((len(group), n), -1, np.int32)
-        at = np.full(len(group), n)
-        every = np.arange(len(group))
-        for e in range(n, 0, -1):
-            here = every[(at == e) & ~odd]
-            out[here, e - 1] = ids[e][here]
+        """Puts the best paths of words, each with a space before it, into the cache: one search for all of them."""
+        short = [w for w in new if len(w) <= 64]
+        slow = [w for w in new if len(w) > 64]
+        for lo in range(0, len(short), 1 << 16):
+            slow += self.search(short[lo : lo + (1 << 16)])
+        for w in slow:
+            ids, score = self.path(" " + w, 0, len(w) + 1, len(w) + 1)
+            self.words[w] = np.array(ids, np.int32).tobytes(), score
+
+    def search(self, group: list[str]) -> list[str]:
+        """learn() for many words side by side; returns those with a character beyond ASCII that has no piece. Words stand in order of falling length, and
+        their characters column by column: column c has those of all words of more than c characters (the space before a word counts)."""
+        if not group:
+            return []
+        group = sorted(group, key=len, reverse=True)
+        n = np.array([len(w) + 1 for w in group])
+        most = int(n[0])
+        have = np.searchsorted(-n, -np.arange(most + 1))  # words of more than c characters, by c
+        column = np.concatenate(([0], np.cumsum(have)))
+        flat = np.frombuffer((" " + " ".join(group)).encode("utf-32-le", "surrogatepass"), np.uint32)
+        start = np.cumsum(n) - n
+        codes = np.concatenate([flat[start[:m] + c] for c, m in enumerate(have[:most].tolist())]).astype(np.uint64)
+        c, w = np.repeat(np.arange(most), have[:most]), np.concatenate([np.arange(m) for m in have[:most].tolist()])
+        h = np.zeros(len(c), np.uint64)
+        odd = np.zeros(len(group), bool)
+        pieces: list[tuple] = [()]  # by length: where each column begins, words, ids, scores
+        for k in range(1, min(self.p.longest, most) + 1):
+            inside = c + k <= n[w]
+            c, w, h = c[inside], w[inside], h[inside]
+            if not len(c):
+                break
+            h = _step(h, codes[column[c + k - 1] + w])
+            ids, scores = self.p.find(h)
+            good = ids >= 0
+            if k == 1:
+                odd[w[~good]] = True
+            pieces.append((np.searchsorted(c[good], np.arange(most + 1)).tolist(), w[good], ids[good], scores[good]))
+            go = ids > -2
+            c, w, h = c[go], w[go], h[go]
+        best, length, last = [np.zeros(len(group), np.int64)], [np.zeros(0, np.int8)], [np.zeros(0, np.int32)]
+        total = np.zeros(len(group), np.int64)
+        for e in range(1, most + 1):
+            m = int(have[e - 1])
+            b, size, ids = np.full(m, LOW, np.int64), np.zeros(m, np.int8), np.zeros(m, np.int32)
+            for k in range(1, min(e, len(pieces) - 1) + 1):
+                bounds, words, of, scores = pieces[k]
+                lo, hi = bounds[e - k], bounds[e - k + 1]
+                if lo == hi:
+                    continue
+                words = words[lo:hi]
+                score = best[e - k][words] + scores[lo:hi]
+                better = score >= b[words]  # k rises, so of equals the longest piece stays
+                words = words[better]
+                b[words], size[words], ids[words] = score[better], k, of[lo:hi][better]
+            best.append(b)
+            length.append(size)
+            last.append(ids)
+            total[have[e] : m] = b[have[e] : m]
+        at = np.where(odd, -1, n)
+        rows, ends, chosen = [], [], []
+        for e in range(most, 0, -1):
+            here = np.flatnonzero(at[: have[e - 1]] == e)
+            rows.append(here)
+            ends.append(np.full(len(here), e))
+            chosen.append(last[e][here])
             at[here] -= length[e][here]
-        chosen = out >= 0
-        counts = chosen.sum(axis=1)
-        raw = out[chosen].tobytes()
-        ends = (4 * np.cumsum(counts)).tolist()
-        start = 0
-        for w, end, score, skip in zip(group, ends, best[n].tolist(), odd.tolist()):
-            if not skip:
-                self.words[w] = raw[start:end], score
-            start = end
-        return [w for w, skip in zip(group, odd.tolist()) if skip]
+        row = np.concatenate(rows)
+        order = np.argsort(row * (most + 1) + np.concatenate(ends))
+        raw = np.concatenate(chosen)[order].tobytes()
+        stop = (4 * np.cumsum(np.bincount(row, minlength=len(group)))).tolist()
+        begin = 0
+        for word, end, score in zip(group, stop, total.tolist()):
+            if end > begin:
+                self.words[word] = raw[begin:end], score
+                begin = end
+        return [group[i] for i in np.flatnonzero(odd).tolist()]
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -224,9 +255,8 @@ class Encoder:
         for t in texts:
             new.update(self.parts(t))
         missing = {w for w in new if w not in self.words}
-        if len(self.words) + len(missing) > CACHE:
-            self.words.clear()
-            missing = new
+        if len(self.words) + len(missing) > CACHE:  # frequent words are among those that are needed now
+            self.words = {w: self.words[w] for w in new - missing}
         self.learn(list(missing))
 
     def prepare_chunks(self, texts: list[str], sizes: list[int]) -> None:
@@ -336,7 +366,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(chunk, pa.int32()), pa.array(begin, pa.int32()), pa.array(score, pa.int64()), lists, pa.array(exact, pa.bool_())], names=["doc_id", "chunk", "begin", "score", "ids", "exact"])
 
 
-ROWS = 512
+ROWS = 2048
 AT_ONCE = 1 << 21
 _CHUNKS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("chunk", pa.int32()), ("n", pa.int32()), ("text", pa.string()), ("matrix", pa.binary())])
 
