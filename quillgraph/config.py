@@ -21,7 +21,8 @@ class SelectedConcepts:
 
 @dataclass(frozen=True)
 class Settings:
-    """Paths may be on any file system that Spark reads."""
+    """Paths may be on any file system that Spark reads. Every deduplicated table is checked for repeated keys as a whole, so global_duplicate_check, as older settings files have
+    it, asks for nothing more."""
 
     works_input: str = "input/works"
     authors_input: str = "input/authors"

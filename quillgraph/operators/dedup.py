@@ -82,17 +82,15 @@ def null_keys(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key)))
 
 
-def check(df: DataFrame, key: tuple[str, ...], duplicates: bool = True) -> DataFrame:
-    """One row: rows, rows with a NULL in the key, keys that occur more than once (NULL if not asked for). One pass, one shuffle on the key."""
+def check(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """One row: rows, rows with a NULL in the key, keys that occur more than once. One pass, one shuffle on the key."""
     bad = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key))
-    if not duplicates:
-        return df.agg(F.count("*").alias("rows"), F.count_if(bad).alias("null_keys"), F.lit(None).cast("long").alias("duplicate_keys"))
     by = df.groupBy(*key).agg(F.count("*").alias("__n"))
     return by.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(bad, F.col("__n"))), F.lit(0)).alias("null_keys"), F.count_if((F.col("__n") > 1) & ~bad).alias("duplicate_keys"))
 
 
-def assert_valid(df: DataFrame, table: str, duplicates: bool = True) -> None:
+def assert_valid(df: DataFrame, table: str) -> None:
     """Raises ValueError for an empty table, NULL keys, or repeated keys."""
-    found = check(df, SPECS[table].key, duplicates).head()
+    found = check(df, SPECS[table].key).head()
     if not found["rows"] or found["null_keys"] or found["duplicate_keys"]:
         raise ValueError(f"{table}: {found.asDict()}")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillgraph.functions.ids import strip_id
 from quillgraph.functions.text import clean_text, invert_abstract
 from quillgraph.operators import dedup, generators, graph, metrics
+from quillgraph.plans import ingestqueries
 from quillgraph.plans.testmodel import SEEDS, Model, sql
 from quillgraph.scratch import written
 
@@ -28,13 +29,21 @@ def _model(f: Callable[[Model], DataFrame]) -> Query:
     return lambda spark, sf_dir: f(Model(spark, sf_dir))
 
 
-#: What several tables build on; stored, so that it is made once.
+#: What several tables build on; stored, so that it is made once, for all queries of a session.
 _BASES = {"seed_scores", "citation_edges", "work_ids"}
 _FACTS = _BASES | {"works", "authorships", "affiliations", "scores"}
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(m: Model, name: str, df: DataFrame) -> DataFrame:
+    key = m.spark.sparkContext.applicationId, m.sf_dir, name
+    if key not in _stored:
+        _stored[key] = written(df, name)
+    return _stored[key]
 
 
 def _filtered(m: Model, stored: set[str] = _BASES) -> dict[str, DataFrame]:
-    return graph.neighbourhood(m.tables(), SEEDS, lambda name, df: written(df, name) if name in stored else df)
+    return graph.neighbourhood(m.tables(), SEEDS, lambda name, df: _once(m, name, df) if name in stored else df)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -49,7 +58,7 @@ def _per_work(m: Model) -> tuple[dict[str, DataFrame], DataFrame]:
 def _by_entity(build: Callable[[dict[str, DataFrame], DataFrame], DataFrame]) -> Query:
     def query(m: Model) -> DataFrame:
         t, per_work = _per_work(m)
-        return _rounded(build(t, written(per_work, "works_metrics")))
+        return _rounded(build(t, _once(m, "works_metrics", per_work)))
 
     return _model(query)
 
@@ -198,7 +207,11 @@ _add(
     """SELECT 'W' || l_orderkey AS work_id, 'A' || l_suppkey AS author_id,
       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_shipdate) - 1 AS INT) AS author_sequence FROM lineitem""",
 )
-_add("text_clean", lambda spark, d: spark.read.parquet(f"{d}/pages.parquet").select("page_id", clean_text("html").alias("clean")))
+_add(
+    "text_clean",
+    lambda spark, d: spark.read.parquet(f"{d}/pages.parquet").select("page_id", clean_text("html").alias("clean")),
+    """SELECT page_id, trim(nfc_normalize(replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')), ' ' || chr(10) || chr(9)) AS clean FROM pages""",
+)
 
 
 def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,3 +222,6 @@ def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _add("invert_abstract", _inverted, r"SELECT item_id, array_to_string(regexp_split_to_array(text, '\s+'), ' ') AS abstract FROM benchmark")
+
+QUERIES |= ingestqueries.QUERIES
+SQL |= ingestqueries.SQL

@@ -28,6 +28,7 @@ class Model:
     """Lazily read tables of one folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
         self.read: Callable[[str], DataFrame] = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     def scores_raw(self) -> DataFrame:

@@ -38,7 +38,6 @@ TABLES: dict[str, str] = {
     "selected_scores": "work_id string, concept_id string, concept_score double",
     "authors": "author_id string, author_name string, first_publication_year int, last_publication_year int, works_count int, cited_by_count int, h_index int",
 }
-FAILURES = "shard string, stage string, record_id string, error_type string, error string"
 
 
 @cache

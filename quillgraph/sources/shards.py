@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +19,11 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return with_shard(lines)
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path) of the shards below a path. Only folders are listed; no file is opened."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", LINES).load(path).select("path")
+
+
 def with_shard(lines: DataFrame) -> DataFrame:
     where = F.col("_metadata.file_path")
     return lines.select("value", F.coalesce(shard_name(where), file_name(where)).alias("shard"), snapshot_date(where_date(where)).alias("snapshot_date")).where(F.trim("value") != "")
@@ -46,6 +48,11 @@ def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     return out.withColumn("state", state)
 
 
+def staged(parsed: DataFrame) -> DataFrame:
+    """What is stored of parsed lines so that they are parsed once for all tables: the text only of those that failed."""
+    return parsed.select("shard", "snapshot_date", "state", "record", F.when(F.col("state") == "failed", F.col("value")).alias("value")).where("state <> 'malformed'")
+
+
 def failures(parsed: DataFrame, stage: str = "parse") -> DataFrame:
     """Records that are JSON but don't fit, with their id where it can be read."""
     return parsed.where("state = 'failed'").select(
@@ -59,7 +66,8 @@ def failures(parsed: DataFrame, stage: str = "parse") -> DataFrame:
 
 def publication_year(text: F.Column | str) -> F.Column:
     """2010, "2010" and 2010.7 are 2010; anything else NULL."""
-    return F.expr(f"try_cast(try_cast({text} as double) as int)") if isinstance(text, str) else F.try_to_number(text, F.lit("9999")).cast("int")
+    text = F.col(text) if isinstance(text, str) else text
+    return text.try_cast("double").try_cast("int")
 
 
 def works_in_range(parsed: DataFrame, first: int, last: int) -> DataFrame:
@@ -72,25 +80,15 @@ def authors(parsed: DataFrame) -> DataFrame:
     return parsed.where("state = 'ok'").select("shard", "snapshot_date", "record.*").drop(_BAD)
 
 
-def new_lines(lines: DataFrame, done: DataFrame | None) -> DataFrame:
-    """lines of shards that aren't listed in done (shard)."""
-    return lines if done is None else lines.join(done.select("shard").distinct(), "shard", "left_anti")
-
-
 def read_dated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet files with a date in their name, with snapshot_date; other files are left out. The filter on the file's name prunes files, not rows."""
     files = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]*.parquet").parquet(path)
     return files.select(*schema.names, snapshot_date(F.col("_metadata.file_name")).alias("snapshot_date"))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A table's folder; with a schema an empty folder is an empty table, and partition folders below are found."""
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def has_date(name: str) -> bool:
-    return re.search(r"\d{4}-\d{2}-\d{2}", name) is not None
+def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """A table's folder or folders; with a schema an empty folder is an empty table, and partition folders below are found."""
+    paths = [path] if isinstance(path, str) else path
+    if schema is None:
+        return spark.read.parquet(*paths)
+    return spark.read.schema(schema).parquet(*paths).select(*schema.names)

@@ -25,8 +25,14 @@ def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int, comp
 
 
 def write_failures(df: DataFrame, path: str) -> None:
-    """JSON lines, added to what is there."""
-    df.write.mode("append").json(path)
+    """JSON lines."""
+    df.write.mode("overwrite").json(path)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; none if it isn't there."""
+    fs, where = _hadoop(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(where) if x.isDirectory()) if fs.exists(where) else []
 
 
 def complete(spark: SparkSession, path: str) -> bool:

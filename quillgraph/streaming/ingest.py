@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quillgraph.config import Settings
-from quillgraph.plans.runner import _schema, tables_of_works
+from quillgraph.plans.runner import tables_of_works, write_batch
 from quillgraph.schemas import raw_work
-from quillgraph.sources import shards, sinks
+from quillgraph.sources import shards
 
 
 def works_stream(spark: SparkSession, settings: Settings, files_per_batch: int = 1000) -> DataFrame:
@@ -17,17 +17,10 @@ def works_stream(spark: SparkSession, settings: Settings, files_per_batch: int =
 
 
 def start(spark: SparkSession, settings: Settings, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Every batch overwrites its own folder (batch=N) of each table, so a batch that is tried again leaves no second copy."""
-    root = settings.root("shards")
+    """Every batch overwrites its own folder (batch=sN) of each table, so a batch that is tried again leaves no second copy; deduplication reads it once it is committed."""
 
     def write(batch: DataFrame, number: int) -> None:
-        parsed = shards.parse(batch, raw_work()).persist()
-        try:
-            for name, table in tables_of_works(parsed, settings).items():
-                sinks.write_table(table.select(*_schema(name, settings).names), f"{root}/{name}/batch={number}", settings.parquet_compression)
-            shards.failures(parsed).write.mode("overwrite").json(f"{root}/_failures_works/batch={number}")
-        finally:
-            parsed.unpersist()
+        write_batch(spark, settings, "works", f"batch=s{number:06d}", batch, [], lambda p: tables_of_works(p, settings), raw_work())
 
     writer = works_stream(spark, settings).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -3,7 +3,7 @@ import json
 
 from quillgraph.config import SelectedConcepts, Settings, from_dict, valid_seeds
 from quillgraph.functions.ids import shard_name, snapshot_date, strip_id
-from quillgraph.functions.text import clean, clean_text, invert_abstract
+from quillgraph.functions.text import clean, clean_text, decode_again, invert_abstract
 from quillgraph.operators import generators
 from quillgraph.plans import runner
 from quillgraph.schemas import raw_work
@@ -121,25 +121,110 @@ def test_stages_end_to_end(spark, folder, rows):
     (people / "p_2024-05-01.json").write_text(json.dumps({"id": "https://x.org/A1", "display_name": " Ann ", "works_count": 2, "summary_stats": {"h_index": 4}}) + "\n")
     s = Settings(works_input=str(folder / "in" / "works"), authors_input=str(people), data_path=str(folder / "data"), graph_filter_concepts=("C1",), selected_concepts=SelectedConcepts(concept_ids=("C1",)), global_duplicate_check=True)
     runner.run(spark, s)
-    runner.run(spark, s, ["works"])  # nothing new: nothing is added
-    assert spark.read.parquet(f"{s.root('shards')}/works").count() == 3
+    made = spark.read.parquet(f"{s.root('tables')}/works").inputFiles()
+    runner.run(spark, s, ["works", "deduplication"])  # nothing new: nothing is added, no table is made again
+    assert spark.read.parquet(f"{s.root('shards')}/works").count() == 3 and spark.read.parquet(f"{s.root('tables')}/works").inputFiles() == made
     per_work = spark.read.parquet(f"{s.root('metrics')}/works_metrics").collect()
     assert [(r.work_id, r.local_in_citations, r.local_out_citations, r.seed_concept_max_score, r.top_concept_id) for r in per_work] == [("W1", 1, 2, 0.7, "C1")]
     author = spark.read.parquet(f"{s.root('metrics')}/authors_metrics").head()
     assert (author.author_id, author.first_author_count, author.years_active, author.local_citation_count) == ("A1", 1, 1, 1)
     assert spark.read.parquet(f"{s.root('metrics')}/sources_metrics").head().open_access_works_count == 1
-    assert sinks.up_to_date(spark, f"{s.root('tables')}/works", {"files": 256, "key": ["work_id"], "rank": "latest, most cited"})
+    spec = sinks.read_manifest(spark, f"{s.root('tables')}/works")
+    assert spec["key"] == ["work_id"] and spec["batches"] == ["batch=000000"] and sinks.up_to_date(spark, f"{s.root('tables')}/works", spec)
+    assert not sinks.up_to_date(spark, f"{s.root('tables')}/works", spec | {"rank": "another"})
     with pytest.raises(FileNotFoundError):
         sinks.require(spark, str(folder / "nothing"))
     sinks.write_bucketed(spark.range(20).withColumn("k", F.col("id")), str(folder / "b"), ["k"], 4)
     assert spark.read.parquet(str(folder / "b")).where("bucket is not null").count() == 20
 
 
+def shard(folder, name, *ids):
+    (folder / "in" / "works" / name).write_text("\n".join(json.dumps({"id": i, "publication_year": 2010}) for i in ids))
+
+
+def ids(spark, s):
+    return sorted(r.work_id for x in runner.committed(spark, s, "works") for r in spark.read.parquet(f"{s.root('shards')}/works/{x}").collect())
+
+
+def test_only_new_shards_are_read(spark, folder):
+    s = Settings(works_input=str(folder / "in" / "works"), data_path=str(folder / "data"), selected_concepts=SelectedConcepts(enabled=False))
+    runner.run(spark, s, ["works"])
+    (folder / "in" / "works" / "updated_date=2024-05-01" / "part_000.gz").write_bytes(b"no gzip: reading it would fail")
+    shard(folder, "b_2024-05-02.json", "W20", "W21")
+    runner.run(spark, s, ["works", "deduplication"])
+    assert runner.committed(spark, s, "works") == ["batch=000000", "batch=000001"] and ids(spark, s) == ["W1", "W20", "W21", "W5", "W6"]
+    assert spark.read.parquet(f"{s.root('tables')}/works").count() == 5
+    runner.run(spark, s, ["works"])
+    assert len(runner.committed(spark, s, "works")) == 2
+
+
+@pytest.mark.parametrize("fails_at", ["works", "scores", "_done_works/batch=000000"])
+def test_a_run_that_breaks_off_leaves_no_second_copy(spark, folder, monkeypatch, fails_at):
+    s = Settings(works_input=str(folder / "in" / "works"), data_path=str(folder / "data"), selected_concepts=SelectedConcepts(enabled=False))
+    write = sinks.write_table
+
+    def broken(df, path, *more):
+        write(df, path, *more)
+        if path.endswith(fails_at) or f"/{fails_at}/batch" in path:
+            raise RuntimeError("killed")
+
+    monkeypatch.setattr(sinks, "write_table", broken)
+    with pytest.raises(RuntimeError):
+        runner.run(spark, s, ["works"])
+    monkeypatch.setattr(sinks, "write_table", write)
+    shard(folder, "b_2024-05-02.json", "W20")
+    runner.run(spark, s, ["works", "deduplication"])
+    assert ids(spark, s) == ["W1", "W20", "W5", "W6"]
+    assert spark.read.parquet(f"{s.root('shards')}/scores").count() == 2
+    assert sinks.folders(spark, f"{s.root('shards')}/_parsed_works") == []
+
+
+def test_batches_for_other_tables_are_made_again(spark, folder):
+    s = Settings(works_input=str(folder / "in" / "works"), data_path=str(folder / "data"), selected_concepts=SelectedConcepts(enabled=False))
+    runner.run(spark, s, ["works"])
+    assert not sinks.folders(spark, f"{s.root('shards')}/selected_scores")
+    t = Settings(works_input=s.works_input, data_path=s.data_path, selected_concepts=SelectedConcepts(concept_ids=("C1",)))
+    runner.run(spark, t, ["works"])
+    assert sinks.folders(spark, f"{t.root('shards')}/selected_scores") == ["batch=000000"] and ids(spark, t) == ["W1", "W5", "W6"]
+
+
+def test_options_of_public_stores():
+    o = Settings(max_connection_retries=7).object_store_options()
+    assert o["spark.hadoop.fs.s3a.aws.credentials.provider"].endswith("AnonymousAWSCredentialsProvider") and o["spark.hadoop.fs.s3a.attempts.maximum"] == o["spark.task.maxFailures"] == "7"
+
+
+def test_repair_of_texts():
+    def read_wrong(text, times):
+        for _ in range(times):
+            text = "".join(bytes([b]).decode("cp1252", "replace").replace("\ufffd", chr(b)) for b in text.encode())
+        return text
+
+    for text in ("Café déjà vu", "Łódź ąęć šž", "Привет мир", "naïve façade €5 °C", "日本語 テキスト", "emoji 😀!", "l'œuvre ƒ"):
+        assert [decode_again(read_wrong(text, n)) for n in (0, 1, 2)] == [text] * 3
+    for text in ("CAFÉ”", "« É »", "ÜBER–", "Größe ß’s", "ŁÓDŹ", "Ça va? Ñ“x", "São Paulo À “B”", "ÀÉÎÕÜ àéîõü ß÷×"):
+        assert decode_again(text) == text
+    assert [clean(x) for x in ("ﬁn ＡＢ　x", "a\r\nb\x00", "&amp;lt;", "<b>&amp;lt;", "e\u0301", "\x1b[31mred\x1b[0m", "\x80 5", "it’s")] == ["fin AB x", "a\nb", "<", "<b>&lt;", "é", "red", "€ 5", "it's"]
+
+
+def test_clean_column_is_clean(spark):
+    texts = ["plain text, as it is", " x", "x\t", "a&amp;b", "a&b", "é", "e\u0301", "", "a\nb", "a\rb", "\u00a0x\u00a0", "tab\tinside", "~", "\x7f", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(clean_text("t")).collect()]
+    assert got == [clean(t) for t in texts]
+
+
+def test_long_abstracts(spark):
+    n = 30_000
+    words = spark.range(n).selectExpr("map_from_arrays(array('even', 'odd'), array(sequence(0, cast(id as int) * 0 + 29998, 2), sequence(1, 29999, 2))) m").limit(1)
+    assert words.select(invert_abstract("m")).head()[0] == " ".join(["even", "odd"] * (n // 2))
+
+
 def test_stream(spark, folder):
-    s = Settings(works_input=str(folder / "in" / "works"), data_path=str(folder / "stream"))
+    s = Settings(works_input=str(folder / "in" / "works"), data_path=str(folder / "stream"), selected_concepts=SelectedConcepts(enabled=False))
     ingest.start(spark, s, str(folder / "checkpoint")).awaitTermination()
     ingest.start(spark, s, str(folder / "checkpoint")).awaitTermination()
     assert spark.read.parquet(f"{s.root('shards')}/works").count() == 3
+    runner.run(spark, s, ["deduplication"])
+    assert spark.read.parquet(f"{s.root('tables')}/works").count() == 3
 
 
 def test_dated_parquet(spark, tmp_path):
