@@ -140,3 +140,19 @@ def test_pipeline_against_brute_force(spark, corpus):
     assert kept[2] == want
     packed = corpus_pipeline.run(spark, d)
     assert {r.doc_id for r in packed.collect()} == want - {3000}
+
+
+def test_pipeline_over_empty_tables_and_nulls(spark, tmp_path):
+    rows = [(None, None, None, None, None), (None, "no id", None, None, None), (1, "", None, None, None), (1, "", None, None, None), (2, "word " * 20_000, "en", "s", 0), (2, "word " * 20_000, "en", "s", 0), (3, None, "de", None, None)]
+    for name, given in (("none", []), ("some", rows)):
+        d = str(tmp_path / name)
+        spark.createDataFrame(given, SCHEMA).write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+        docs = spark.read.parquet(f"{d}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, d)
+            assert docs.columns == [x.split()[0] for x in SCHEMA.split(", ")]
+        packed = corpus_pipeline.run(spark, d)
+        assert {r.doc_id for r in packed.collect()} == ({None, 1, 2} if given else set())
+        kept = sorted(((r.doc_id, r.text) for r in docs.collect()), key=repr)
+        assert kept == (sorted(((i, t) for i, t, *_ in rows), key=repr) if given else [])
