@@ -12,7 +12,7 @@ from quillgraph.functions.ids import bucket, file_name
 from quillgraph.operators import generators
 from quillgraph.schemas import raw_author, raw_work
 from quillgraph.scratch import scratch_path
-from quillgraph.sources import shards
+from quillgraph.sources import shards, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,3 +168,16 @@ def _buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _add("buckets", _buckets, 'SELECT l_partkey, count(*) AS "rows", CAST(1 AS BIGINT) AS buckets, true AS inside FROM lineitem GROUP BY l_partkey')
 _add("file_names", lambda spark, d: spark.read.parquet(f"{d}/pages.parquet").select("page_id", file_name("url").alias("name")), "SELECT page_id, regexp_extract(url, '[^/]*$') AS name FROM pages")
+
+
+def _partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written in a folder for each bucket of a key and read again, the folders' number as a column."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    root = scratch_path(spark, "partitioned")
+    sinks.write_bucketed(lines, f"{root}/bucketed", ["l_orderkey"], 8)
+    sinks.write_table(shards.read_table(spark, f"{root}/bucketed").where(F.col("bucket") == bucket(["l_orderkey"], 8)).drop("bucket"), f"{root}/flags", partition_by=("l_returnflag",))
+    schema = lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag").schema
+    return shards.read_table(spark, f"{root}/flags", schema).groupBy("l_returnflag", "l_orderkey").agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
+
+
+_add("partitioned", _partitioned, "SELECT l_returnflag, l_orderkey, count(*) AS lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY ALL")
