@@ -9,8 +9,10 @@ differ by more than k edits could make are dropped before any text is fetched. T
 Of lines that are equal or at most k edits apart the first one (by doc_id, then line number) stays; every other occurrence is a duplicate. A line is compared with all
 others, but not by way of a third one: if b is near a and c is near b, c goes because of b.
 
-Only hashes are shuffled, in packed blocks; texts only of lines that are in a candidate pair. A line counts once under a key, however often it
-occurs, so equal lines are never paired.
+Only hashes and places are shuffled, in packed blocks; texts only of lines that are in a candidate pair. A line counts once under a key, however often it
+occurs, so equal lines are never paired. Under a key of many lines (of a family that differs in a number, say) not all pairs are made: a line is paired with the first CANDIDATES
+lines before it that may be near. If none of those is, and no nearer one is known from another key, the search is done again with more; so what is found is the same, and a
+family of near lines costs a few pairs a line.
 
 Defined results: a line is a part of a text between \n; distance counts UTF-8 bytes; lines of fewer than MIN_BYTES bytes are never
 near duplicates, and equal ones go only within one document; empty lines never go; NULL texts have no lines and stay
@@ -30,11 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import _power_tables, bucket_keys, free_names, mix, size_buckets, written
+from quillgraph.scratch import discard
 
 EDITS = 2
 MIN_BYTES = 20
 BROADCAST_LINES = 1_000_000
 PAIRS_AT_ONCE = 1 << 20
+CANDIDATES = 64
+LAST = (1 << 63) - 1
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
@@ -83,8 +88,8 @@ def signatures(data: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray
 
 
 def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Lower bound of twice the edit distance by signatures."""
-    total = np.zeros(len(a), np.int64)
+    """Lower bound of twice the edit distance by signatures; a may be a single one."""
+    total = np.zeros(len(b), np.int64)
     for i in range(16):
         s = np.uint64(4 * i)
         d = (((a >> s) & np.uint64(15)).astype(np.int64) - ((b >> s) & np.uint64(15)).astype(np.int64)) % 16
@@ -105,18 +110,25 @@ def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[size > 1], size[size > 1]
 
 
-def candidates(key: np.ndarray, line: np.ndarray, sig: np.ndarray, indexed: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of hashes of different lines that share a key, at least one of them by an index key, with signatures near enough; a pair may come again for another key."""
-    order = np.lexsort((~indexed, line, key))
-    order = order[np.r_[True, (key[order[1:]] != key[order[:-1]]) | (line[order[1:]] != line[order[:-1]])]] if len(order) else order
-    order = order[np.lexsort((~indexed[order], key[order]))]
-    key, line, sig, indexed = key[order], line[order], sig[order], indexed[order]
+def candidates(key: np.ndarray, line: np.ndarray, sig: np.ndarray, doc: np.ndarray, number: np.ndarray, indexed: np.ndarray, k: int, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs (a, b, 0, -1) of hashes of different lines that share a key, at least one of them by an index key, with signatures near enough; a pair may come again for another key.
+    A line of a run of more than ``most`` is paired with at least that many that stand before it; (a, a, doc, number) tells up to which place that was done."""
+    order = np.lexsort((number, doc, line, key))
+    key, line, sig, doc, number, indexed = (x[order] for x in (key, line, sig, doc, number, indexed))
+    fresh = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])]) if len(key) else np.empty(0, np.int64)
+    if len(fresh):
+        indexed = np.logical_or.reduceat(indexed, fresh)
+    key, line, sig, doc, number = (x[fresh] for x in (key, line, sig, doc, number))
     start, size = runs(key)
-    n_index = np.add.reduceat(indexed.astype(np.int64), np.stack([start, start + size], axis=1).ravel().clip(max=len(key) - 1))[::2] if len(start) else np.empty(0, np.int64)
-    if len(start) and start[-1] + size[-1] == len(key):
-        n_index[-1] = indexed[start[-1] :].sum()
-    keep = n_index > 0
-    start, size, n_index = start[keep], size[keep], n_index[keep]
+    for lo, n in zip(start[size > most].tolist(), size[size > most].tolist()):
+        by = lo + np.lexsort((number[lo : lo + n], doc[lo : lo + n]))
+        yield from _first_candidates(line[by], sig[by], doc[by], number[by], indexed[by], k, most)
+    few = np.repeat(start[size <= most], size[size <= most])
+    few = few + np.arange(len(few)) - np.repeat(np.cumsum(size[size <= most]) - size[size <= most], size[size <= most])
+    few = few[np.lexsort((~indexed[few], key[few]))]
+    key, line, sig, indexed = key[few], line[few], sig[few], indexed[few]
+    start, size = runs(key)
+    n_index = np.add.reduceat(indexed.astype(np.int64), start) if len(start) else start
     # one row for each index entry: it meets all entries behind it in its run
     left = np.repeat(start, n_index) + (np.arange(int(n_index.sum())) - np.repeat(np.cumsum(n_index) - n_index, n_index))
     partners = np.repeat(start + size, n_index) - left - 1
@@ -129,8 +141,38 @@ def candidates(key: np.ndarray, line: np.ndarray, sig: np.ndarray, indexed: np.n
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(m) - m, m)
         lo = hi
         good = apart(sig[a], sig[b]) <= 2 * k
-        x, y = line[a[good]], line[b[good]]
-        yield np.minimum(x, y), np.maximum(x, y)
+        yield _pairs(line[a[good]], line[b[good]])
+
+
+def _pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    return np.minimum(x, y), np.maximum(x, y), np.zeros(len(x), np.int64), np.full(len(x), -1)
+
+
+def _first_candidates(line: np.ndarray, sig: np.ndarray, doc: np.ndarray, number: np.ndarray, indexed: np.ndarray, k: int, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """candidates() of one run, in order of place: a line is done when ``most`` lines before it are its candidates, and all that share the last one's place."""
+    n = len(line)
+    open_, count, done = np.arange(n), np.zeros(n, np.int64), []
+    x, y, held = [], [], 0
+    for j in range(n - 1):
+        later = open_[np.searchsorted(open_, j + 1) :]
+        if not len(later):
+            break
+        hit = later[(apart(sig[j : j + 1], sig[later]) <= 2 * k) & (indexed[j] | indexed[later])]
+        x.append(np.full(len(hit), line[j]))
+        y.append(line[hit])
+        held += len(hit)
+        count[hit] += 1
+        if doc[j] != doc[j + 1] or number[j] != number[j + 1]:
+            full = later[count[later] >= most]
+            if len(full):
+                done.append((line[full], line[full], np.full(len(full), doc[j]), np.full(len(full), number[j])))
+                open_ = later[count[later] < most]
+        if held >= PAIRS_AT_ONCE:
+            yield _pairs(np.concatenate(x), np.concatenate(y))
+            x, y, held = [], [], 0
+    if x:
+        yield _pairs(np.concatenate(x), np.concatenate(y))
+    yield from done
 
 
 def distances(left: list[bytes], right: list[bytes], k: int) -> np.ndarray:
@@ -187,8 +229,8 @@ def _band(left: list[bytes], right: list[bytes], m: np.ndarray, n: np.ndarray, k
     return score
 
 
-def _blocks(lines: list[bytes], k: int, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """The keys of one batch of distinct lines by bucket: arrays of keys, line hashes, signatures, and index marks."""
+def _blocks(lines: list[bytes], doc: np.ndarray, number: np.ndarray, k: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """The keys of one batch of distinct lines by bucket: arrays of keys, line hashes, signatures, places, and index marks."""
     n = np.array([len(x) for x in lines], np.int64)
     data = np.frombuffer(b"".join(lines), np.uint8)
     start = np.concatenate(([0], np.cumsum(n)))[:-1]
@@ -204,22 +246,38 @@ def _blocks(lines: list[bytes], k: int, buckets: int) -> Iterator[tuple[int, byt
     for b in range(buckets):
         part = order[bounds[b] : bounds[b + 1]]
         if len(part):
-            yield b, key[part].tobytes() + hashes[line[part]].tobytes() + sig[line[part]].tobytes() + mark[part].tobytes()
+            row = line[part]
+            yield b, b"".join(x.tobytes() for x in (key[part], hashes[row], sig[row], doc[row], number[row], mark[part]))
+
 
+def first_places(ids: list[int | None], texts: list[str], min_bytes: int) -> dict[bytes, tuple[int, int]]:
+    """The distinct lines of a batch with the least (doc_id, line) of each, NULL as the largest doc_id."""
+    out: dict[bytes, tuple[int, int]] = {}
+    for i, t in zip(ids, texts):
+        i = LAST if i is None else i
+        for n, x in enumerate(t.encode("utf-8", "surrogatepass").split(b"\n")):
+            if len(x) >= min_bytes:
+                old = out.get(x)
+                if old is None or (i, n) < old:
+                    out[x] = i, n
+    return out
 
-def candidate_pairs(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
-    """Distinct pairs (a, b) of hashes of lines that may be near, a < b."""
+
+def candidate_rows(docs: DataFrame, k: int, min_bytes: int, most: int) -> DataFrame:
+    """Distinct rows of candidates(): pairs (a, b) with a < b, and (a, a, doc, number)."""
     buckets = size_buckets(docs)
     places = bucket_keys(buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = list({x for t in batch.column(0).to_pylist() for x in t.encode("utf-8", "surrogatepass").split(b"\n") if len(x) >= min_bytes})
+            first = first_places(batch.column(0).to_pylist(), batch.column(1).to_pylist(), min_bytes)
+            lines, at = list(first), np.array(list(first.values()), np.int64).reshape(-1, 2)
+            doc, number = at[:, 0], at[:, 1].astype(np.int32)
             lo = 0
             sizes = np.cumsum([len(x) for x in lines])
             while lo < len(lines):
                 hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + (2 << 20))))
-                b, blocks = zip(*_blocks(lines[lo:hi], k, buckets))
+                b, blocks = zip(*_blocks(lines[lo:hi], doc[lo:hi], number[lo:hi], k, buckets))
                 yield pa.RecordBatch.from_arrays([pa.array([places[x] for x in b], pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
                 lo = hi
 
@@ -228,18 +286,18 @@ def candidate_pairs(docs: DataFrame, k: int, min_bytes: int) -> DataFrame:
         for batch in batches:
             for block in batch.column("block"):
                 raw = block.as_buffer()
-                size = raw.size // 25
-                words = np.frombuffer(raw, np.uint64, 3 * size)
-                parts.append((words[:size], words[size : 2 * size].view(np.int64), words[2 * size :], np.frombuffer(raw, bool, size, 24 * size)))
+                n = raw.size // 37
+                words = np.frombuffer(raw, np.uint64, 4 * n).reshape(4, n)
+                parts.append((words[0], words[1].view(np.int64), words[2], words[3].view(np.int64), np.frombuffer(raw, np.int32, n, 32 * n), np.frombuffer(raw, bool, n, 36 * n)))
         if parts:
             columns = [np.concatenate(x) for x in zip(*parts)]
             parts.clear()
-            for found in candidates(*columns, k):
-                pairs = np.unique(np.stack(found, axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            for found in candidates(*columns, k, most):
+                rows = np.unique(np.stack(found, axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(4)], names=["a", "b", "doc", "number"])
 
-    blocks = docs.where(F.col("text").isNotNull()).select("text").mapInArrow(emit, "bucket int, block binary")
-    return blocks.repartition(buckets, "bucket").mapInArrow(meet, "a long, b long").distinct()
+    blocks = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, "bucket int, block binary")
+    return blocks.repartition(buckets, "bucket").mapInArrow(meet, "a long, b long, doc long, number long").distinct()
 
 
 def lines_of(docs: DataFrame, min_bytes: int) -> DataFrame:
@@ -249,13 +307,29 @@ def lines_of(docs: DataFrame, min_bytes: int) -> DataFrame:
 
 
 def near_pairs(docs: DataFrame, k: int = EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(a, b, distance) of distinct lines' hashes, 0 < distance <= k, a < b."""
-    pairs = written(candidate_pairs(docs, k, min_bytes), "line-candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    small = pairs.count() <= BROADCAST_LINES
-    texts = lines_of(docs, min_bytes).select("h", "text").join(F.broadcast(wanted) if small else wanted, "h", "left_semi").dropDuplicates(["h"])
-    texts = written(texts, "line-texts")
-
+    """(a, b, distance) of distinct lines' hashes, 0 < distance <= k, a < b: for each line the pair with the first line that is near it, and others."""
+    most = CANDIDATES
+    while True:
+        rows = written(candidate_rows(docs, k, min_bytes, most), "line-candidates")
+        pairs = rows.where("a <> b").select("a", "b")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+        small = pairs.count() <= BROADCAST_LINES
+        place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.col("line").cast("long").alias("number"))
+        known = lines_of(docs, min_bytes).select("h", "text", place.alias("place")).join(F.broadcast(wanted) if small else wanted, "h", "left_semi")
+        texts = written(known.groupBy("h").agg(F.any_value("text").alias("text"), F.min("place").alias("place")), "line-texts")
+        near = written(_verified(pairs, texts, k), "line-near")
+        ways = near.select("a", "b").union(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        best = ways.join(texts.select(F.col("h").alias("b"), "place"), "b").groupBy("a").agg(F.min("place").alias("place"))
+        open_ = rows.where("a = b").join(best, "a", "left").where(F.col("place").isNull() | (F.col("place") > F.struct("doc", "number")))
+        resolved = open_.isEmpty()
+        discard(rows, texts)
+        if resolved:
+            return near
+        discard(near)
+        most *= 16
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = ([x.encode("utf-8", "surrogatepass") for x in batch.column(c).to_pylist()] for c in ("left", "right"))

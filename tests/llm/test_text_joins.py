@@ -195,10 +195,42 @@ def test_a_line_of_very_many_batches_is_paired_once():
     key, line = np.concatenate([index, probe]), np.concatenate([at, probe_at])
     mark = np.arange(len(key)) < len(index)
     often = np.r_[np.tile(np.flatnonzero(line == 0), 100_000), np.flatnonzero(line == 1)]
-    pairs = [np.stack(x, axis=1) for x in line_dedup.candidates(key[often], line[often].astype(np.int64), sig[line[often]], mark[often], 2)]
+    doc = np.arange(len(often))[::-1].copy()
+    pairs = [np.stack(x[:2], axis=1) for x in line_dedup.candidates(key[often], line[often].astype(np.int64), sig[line[often]], doc, np.zeros(len(often), np.int64), mark[often], 2, 64)]
     assert sum(map(len, pairs)) <= 3 and np.unique(np.concatenate(pairs), axis=0).tolist() == [[0, 1]]
 
 
+@pytest.fixture(scope="module")
+def family():
+    """Lines that share segments: near ones, and ones that the filters let pass but that aren't near."""
+    r = random.Random(12)
+    out = [f"the page with the number {i:04d} of this book" for i in range(60)]
+    for _ in range(60):
+        tail = list("abcdefghijkl")
+        r.shuffle(tail)
+        out.append("a shared beginning of lines " + "".join(tail))
+    r.shuffle(out)
+    return [(i // 3, "\n".join(out[i : i + 3])) for i in range(0, len(out), 3)] + [(None, "the page with the number 0007 of this boo"), (5, "the page with the number 0500 of this book")]
+
+
+def test_families_of_lines_against_all_pairs(docs, family, monkeypatch):
+    want = {k: v for k, v in brute_lines(family, 2, line_dedup.MIN_BYTES).items() if k[0] != 5}
+    assert len(want) > 40
+    for most in (1, 10**6):
+        monkeypatch.setattr(line_dedup, "CANDIDATES", most)
+        assert {(r.doc_id, r.line): (r.kept_doc_id, r.kept_line) for r in line_dedup.duplicate_lines(docs(family)).collect() if r.doc_id != 5} == want
+
+
+def test_a_family_of_lines_costs_few_pairs():
+    lines = [f"the page with the number {i:05d} of this book".encode() for i in range(20_000)]
+    n = np.array([len(x) for x in lines])
+    data, start = np.frombuffer(b"".join(lines), np.uint8), np.cumsum(n) - n
+    index, at, probe, probe_at = line_dedup.keys(data, start, n, 2)
+    sig, key, line = line_dedup.signatures(data, start, n), np.concatenate([index, probe]), np.concatenate([at, probe_at])
+    rows = list(line_dedup.candidates(key, line, sig[line], line, np.zeros(len(line), np.int64), np.arange(len(key)) < len(index), 2, 64))
+    assert sum(len(x[0]) for x in rows) < 20_000 * 500  # of 200 million pairs
+
+
 def test_columns_with_the_names_that_are_used_inside(docs):
     texts = [(1, "the first line of all, long enough\nown"), (2, "the first line of all, long enough\nother"), (3, "one two three four five"), (4, "one two three four five")]
     more = docs(texts).selectExpr("*", "'a' as __gone", "'b' as __gone_id", "'c' as __TIE", "'d' as __id", "'e' as __gone_tie", "'f' as __seen")
