@@ -14,7 +14,8 @@ Documents with equal sets form a class and are handled as one.
    few cells, and a class is sent to few places, however large the group. A cell of more than CELL classes is cut into blocks, and each pair of blocks is a cell of its own,
    so the largest groups spread over many tasks.
 4. In each cell the T-occurrence search runs: for each query the longest lists are set aside, the short ones are merged by a heap, and those
-   candidates that could still reach the required overlap are looked up in the long ones by binary search (DivideSkip). A pair of classes meets in exactly one cell.
+   candidates that could still reach the required overlap are looked up in the long ones by binary search (DivideSkip). Equal lists of a query, as near copies have many, are one
+   list that counts several times. A pair of classes meets in exactly one cell.
 5. Of a cell only each class's number of links and the least class of its part of the group go on, not the pairs, whose number is the square of the group's.
    Groups are the connected components over all cells.
 
@@ -43,7 +44,6 @@ N = 4
 THRESHOLD = 0.45
 BLOCK_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
-HEAP_MOST = 512
 CELL = 1024
 HOT_SHARE = 1 / 64
 HOT_LEAST = 16
@@ -295,46 +295,49 @@ def meetings(blocks: list[pa.Buffer], t: float) -> np.ndarray:
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3), np.int64)
 
 
-def merge_counts(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(records, occurrences) over sorted lists: a heap for few entries, one sort of all of them (the same merge, in numpy) for many."""
-    total = sum(map(len, lists))
-    if not total:
+def merge_counts(lists: list[np.ndarray], weights: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(records, occurrences) over sorted lists, each of which counts by its weight: a merge by a heap of the lists' next records, that is of numbers of record and list."""
+    if not lists:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    if total > HEAP_MOST:
-        return np.unique(np.concatenate(lists), return_counts=True)
-    rest = [x.tolist() for x in lists]
-    heap = [(x[0], i, 0) for i, x in enumerate(rest) if x]
+    bits = len(lists).bit_length()
+    mask = (1 << bits) - 1
+    following = [iter((x.astype(np.int64) << bits | i).tolist()).__next__ for i, x in enumerate(lists)]
+    heap = [x() for x in following]
     heapq.heapify(heap)
-    out: list[int] = []
-    counts: list[int] = []
+    merged: list[int] = []
+    add, replace = merged.append, heapq.heapreplace
     while heap:
-        record, i, at = heap[0]
-        if out and out[-1] == record:
-            counts[-1] += 1
-        else:
-            out.append(record)
-            counts.append(1)
-        if at + 1 < len(rest[i]):
-            heapq.heapreplace(heap, (rest[i][at + 1], i, at + 1))
-        else:
+        try:
+            while True:
+                top = heap[0]
+                add(top)
+                replace(heap, following[top & mask]())
+        except StopIteration:  # that list has ended
             heapq.heappop(heap)
-    return np.array(out, np.int64), np.array(counts, np.int64)
-
-
-def divide_skip(lists: list[np.ndarray], least: int, weight: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
-    """(records, occurrences) of the records that are in at least ``least`` of the sorted lists."""
-    lists = sorted(lists, key=len)
-    longest = len(lists[-1]) if lists else 0
-    aside = min(least - 1, int(least / (weight * math.log2(longest + 2) + 1)))
-    short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-    records, counts = merge_counts(short)
-    keep = counts >= least - aside
+    both = np.array(merged)
+    records = both >> bits
+    at = starts(records)
+    return records[at], np.add.reduceat(np.array(weights)[both & mask], at)
+
+
+def divide_skip(lists: list[np.ndarray], weights: list[int], least: int, cost: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
+    """(records, occurrences) of the records whose lists weigh at least ``least``; no list is empty."""
+    order = sorted(range(len(lists)), key=lambda i: len(lists[i]))
+    longest = len(lists[order[-1]]) if lists else 0
+    most = min(least - 1, int(least / (cost * math.log2(longest + 2) + 1)))
+    aside, held = len(order), 0
+    while aside and held + weights[order[aside - 1]] <= most:
+        aside -= 1
+        held += weights[order[aside]]
+    records, counts = merge_counts([lists[i] for i in order[:aside]], [weights[i] for i in order[:aside]])
+    keep = counts >= least - held
     records, counts = records[keep], counts[keep]
-    for x in reversed(long):
+    for i in reversed(order[aside:]):
         if not len(records):
             break
+        x = lists[i]
         at = np.minimum(np.searchsorted(x, records), len(x) - 1)
-        counts = counts + (x[at] == records)
+        counts = counts + weights[i] * (x[at] == records)
     keep = counts >= least
     return records[keep], counts[keep]
 
@@ -342,33 +345,39 @@ def divide_skip(lists: list[np.ndarray], least: int, weight: float = 0.01) -> tu
 def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Step 4: pairs of records (i < j) of a cell with their similarity; two: only those of different sides."""
     found = [(np.empty(0, np.int64),) * 3]
-    if two and (side.all() or not side.any()):
+    order = np.argsort(side, kind="stable") if two else np.arange(len(sets))  # the other side's records come last
+    sets, sizes = [sets[k] for k in order.tolist()], sizes[order]
+    queries = int((~side).sum()) if two else len(sets)
+    if two and queries in (0, len(sets)):
         pass
     elif len(sets) == 2:
         found.append(tuple(np.array([x]) for x in (0, 1, len(np.intersect1d(sets[0], sets[1], assume_unique=True)))))
     else:
         gram = np.concatenate(sets)
         record = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        order = np.argsort(gram, kind="stable")
-        gram, record = gram[order], record[order]
+        by = np.argsort(gram, kind="stable")
+        gram, record = gram[by], record[by]
         at = starts(gram)
         end = np.r_[at[1:], len(gram)]
         keys = gram[at]
-        for i, s in enumerate(sets):
-            if two and side[i]:
-                continue
-            where = np.searchsorted(keys, s)
-            where = where[end[where] - at[where] > 1]
+        sums = np.add.reduceat(mix(record.astype(np.uint64) + np.uint64(1)), at) if len(at) else np.empty(0, np.uint64)
+        _, like, same = np.unique(sums, return_index=True, return_inverse=True)  # n-grams of the same records share a list
+        for i, s in enumerate(sets[:queries]):
             least = int(need(t, int(sizes[i])))
-            if len(where) < least:
-                continue
-            partner, shared = divide_skip([record[at[k] : end[k]] for k in where], least)
-            keep = side[partner] if two else partner > i
-            found.append((np.full(int(keep.sum()), i), partner[keep], shared[keep]))
+            first = queries if two else i + 1  # of two partners the first one is the query
+            lists, weights = [], []
+            for k, w in zip(*(x.tolist() for x in np.unique(same[np.searchsorted(keys, s)], return_counts=True))):
+                x = record[at[like[k]] : end[like[k]]]
+                if x[-1] >= first:
+                    lists.append(x[np.searchsorted(x, first) :])
+                    weights.append(w)
+            if sum(weights) >= least:
+                partner, shared = divide_skip(lists, weights, least)
+                found.append((np.full(len(partner), i), partner, shared))
     i, j, shared = (np.concatenate(x) for x in zip(*found))
     jaccard = shared / np.maximum(1, sizes[i] + sizes[j] - shared)
     good = jaccard >= t - _EPS
-    i, j = i[good], j[good]
+    i, j = order[i[good]], order[j[good]]
     return np.minimum(i, j), np.maximum(i, j), jaccard[good]
 
 

@@ -335,15 +335,13 @@ def test_many_copies_of_one_text(docs):
 
 def test_divide_skip_against_counting():
     r = np.random.default_rng(3)
-    for _ in range(200):
+    for _ in range(300):
         lists = [np.unique(r.integers(0, 60, r.integers(1, 60))) for _ in range(r.integers(1, 15))]
-        least = int(r.integers(1, len(lists) + 1))
-        count = np.bincount(np.concatenate(lists), minlength=60)
-        for most in (0, 10**6):
-            ngram_join.HEAP_MOST, kept = most, ngram_join.HEAP_MOST
-            got, shared = ngram_join.divide_skip(lists, least)
-            ngram_join.HEAP_MOST = kept
-            assert got.tolist() == np.flatnonzero(count >= least).tolist() and shared.tolist() == count[got].tolist()
+        weights = r.integers(1, 4, len(lists)).tolist()
+        least = int(r.integers(1, sum(weights) + 1))
+        count = sum(np.isin(np.arange(60), x) * w for x, w in zip(lists, weights))
+        got, shared = ngram_join.divide_skip(lists, weights, least)
+        assert got.tolist() == np.flatnonzero(count >= least).tolist() and shared.tolist() == count[got].tolist()
 
 
 def test_components(spark):
