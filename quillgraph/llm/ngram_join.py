@@ -9,13 +9,14 @@ Documents with equal sets form a class and are handled as one.
    classes only pass through and are aggregated by Spark, so a class of any number of copies is no task's load.
 2. By class, the shared n-grams come together with their frequencies. A partner of a class with s n-grams shares at least ceil(t*s) of them, so one of
    the s - ceil(t*s) + 1 rarest; n-grams of the class alone take the first places of that prefix. Most classes have no other ones and are done.
-3. By n-gram of the prefix, classes that could be partners meet (prefix, length and positional filters). They are not paired here: each class has a home, its
-   least shared n-gram, and joins a cell for each pair of homes that met. Near copies mostly have the same home, so a group of them fills a
+3. By n-gram of the prefix, classes that could be partners meet (prefix, length and positional filters). They are not paired here: each class has a home, the least of
+   its shared n-grams that are at least half as frequent as their median (those that only a few copies share would scatter a large group), and joins a cell for each pair of homes that met. Near copies mostly have the same home, so a group of them fills a
    few cells, and a class is sent to few places, however large the group. A cell of more than CELL classes is cut into blocks, and each pair of blocks is a cell of its own,
    so the largest groups spread over many tasks.
 4. In each cell the T-occurrence search runs: for each query the longest lists are set aside, the short ones are merged by a heap, and those
    candidates that could still reach the required overlap are looked up in the long ones by binary search (DivideSkip). Equal lists of a query, as near copies have many, are one
-   list that counts several times. A pair of classes meets in exactly one cell.
+   list that counts several times. In a cell of DENSE classes and more, the lists with more than a LONG-th of its classes are the long ones of every query: nearly all classes of a group of near copies are candidates of each
+   other there, so these lists are looked up for all of them at once, by a product of matrices; the others are merged by the heap. A pair of classes meets in exactly one cell.
 5. Of a cell only each class's number of links and the least class of its part of the group go on, not the pairs, whose number is the square of the group's.
    Groups are the connected components over all cells.
 
@@ -45,6 +46,9 @@ THRESHOLD = 0.45
 BLOCK_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
 CELL = 1024
+DENSE = 64
+LONG = 32
+DENSE_VALUES = 8 << 20
 HOT_SHARE = 1 / 64
 HOT_LEAST = 16
 SAMPLE = 4096
@@ -229,22 +233,24 @@ def class_rows(entries: list[pa.Buffer], hot: list[pa.Buffer], t: float) -> Iter
     owner, count, size, gram, df = (np.concatenate(x) for x in zip(*parts))
     who, size = np.repeat(owner, count), np.repeat(size, count)
     order = np.lexsort((gram, df, who))
-    who, size, gram = who[order], size[order].astype(np.int64), gram[order]
+    who, size, gram, df = who[order], size[order].astype(np.int64), gram[order], df[order]
     if hot and len(who):  # a class's hot n-grams come from every block that has a copy
         fresh = np.r_[True, (who[1:] != who[:-1]) | (gram[1:] != gram[:-1])]
-        who, size, gram = who[fresh], size[fresh], gram[fresh]
+        who, size, gram, df = who[fresh], size[fresh], gram[fresh], df[fresh]
     lo = starts(who)
     hi = np.r_[lo[1:], len(who)]
     owner, size = who[lo], size[lo]
     prefix = np.minimum(np.maximum(0, size - need(t, size) + 1 - (size - (hi - lo))), hi - lo)
     picked = np.flatnonzero(prefix > 0)
+    frequent = df >= np.repeat(df[(lo + hi) // 2] / 2, hi - lo)
+    home = np.minimum.reduceat(np.where(frequent, gram, np.uint64(2**64 - 1)), lo) if len(lo) else gram
     for at in range(0, len(picked), 2048):
         part = picked[at : at + 2048]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(owner[part].view(np.int64)),
                 pa.array(size[part].astype(np.int32)),
-                pa.array(np.array([gram[lo[i] : hi[i]].min() for i in part]).view(np.int64), pa.int64()),
+                pa.array(home[part].view(np.int64)),
                 pa.array([shortened(gram[lo[i] : hi[i]]).tobytes() for i in part], pa.binary()),
                 pa.array(prefix[part].astype(np.int32)),
             ],
@@ -342,6 +348,46 @@ def divide_skip(lists: list[np.ndarray], weights: list[int], least: int, cost: f
     return records[keep], counts[keep]
 
 
+def dense_counts(at: np.ndarray, end: np.ndarray, record: np.ndarray, weights: np.ndarray, sizes: np.ndarray, queries: int, two: bool, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, partner, occurrences) of the pairs of a large cell that may be similar, from its different lists record[at:end] and their weights."""
+    lengths = end - at
+    entry = np.repeat(at - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum())
+    record, of = record[entry], np.repeat(np.arange(len(at)), lengths)
+    kind = np.float32 if sizes.max() < 1 << 23 else np.float64  # whole numbers up to twice that are exact
+    counts = np.zeros((queries, len(sizes)), kind)
+    long = np.flatnonzero(lengths * LONG > len(sizes))
+    wide = max(1, DENSE_VALUES // len(sizes))
+    for lo in range(0, len(long), wide):
+        column = np.full(len(at), -1)
+        column[long[lo : lo + wide]] = np.arange(len(long[lo : lo + wide]))
+        some = column[of] >= 0
+        there = np.zeros((len(sizes), min(wide, len(long) - lo)), kind)
+        there[record[some], column[of[some]]] = 1
+        times = there[:queries] * weights[long[lo : lo + wide]].astype(kind)
+        for q in range(0, queries, 256):
+            first = queries if two else q
+            counts[q : q + 256, first:] += times[q : q + 256] @ there[first:].T
+    short = lengths * LONG <= len(sizes)
+    own = np.flatnonzero(short[of] & (record < queries))
+    own = own[np.argsort(record[own], kind="stable")]
+    bounds = np.searchsorted(record[own], np.arange(queries + 1))
+    begin = np.r_[0, np.cumsum(lengths)]
+    found = [(np.empty(0, np.int64),) * 3]
+    for i in range(queries):
+        first = queries if two else i + 1
+        lists, times = [], []
+        for k in of[own[bounds[i] : bounds[i + 1]]].tolist():
+            x = record[begin[k] : begin[k + 1]]
+            if x[-1] >= first:
+                lists.append(x[np.searchsorted(x, first) :])
+                times.append(int(weights[k]))
+        partner, shared = merge_counts(lists, times)
+        counts[i, partner] += shared
+        partner = first + np.flatnonzero(counts[i, first:] * (1 + t) >= t * (sizes[i] + sizes[first:]) - 1)
+        found.append((np.full(len(partner), i), partner, counts[i, partner].astype(np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Step 4: pairs of records (i < j) of a cell with their similarity; two: only those of different sides."""
     found = [(np.empty(0, np.int64),) * 3]
@@ -362,7 +408,10 @@ def search_cell(sets: list[np.ndarray], sizes: np.ndarray, two: bool, side: np.n
         keys = gram[at]
         sums = np.add.reduceat(mix(record.astype(np.uint64) + np.uint64(1)), at) if len(at) else np.empty(0, np.uint64)
         _, like, same = np.unique(sums, return_index=True, return_inverse=True)  # n-grams of the same records share a list
-        for i, s in enumerate(sets[:queries]):
+        dense = len(sets) >= DENSE
+        if dense:
+            found.append(dense_counts(at[like], end[like], record, np.bincount(same), sizes, queries, two, t))
+        for i, s in enumerate([] if dense else sets[:queries]):
             least = int(need(t, int(sizes[i])))
             first = queries if two else i + 1  # of two partners the first one is the query
             lists, weights = [], []

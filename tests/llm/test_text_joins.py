@@ -344,6 +344,38 @@ def test_divide_skip_against_counting():
         assert got.tolist() == np.flatnonzero(count >= least).tolist() and shared.tolist() == count[got].tolist()
 
 
+def test_a_large_cell_of_near_copies_merges_few_records(monkeypatch):
+    """Before, the heap merged most lists of every query: over 20 records a pair of these."""
+    r = np.random.default_rng(4)
+    base = np.arange(200, dtype=np.uint64)
+    sets = [np.unique(np.r_[base[r.random(200) < 0.9], r.integers(1000, 4000, 12)]).astype(np.uint64) for _ in range(240)]
+    sets += [np.unique(r.integers(0, 4000, 100)).astype(np.uint64) for _ in range(40)]
+    sizes, side = np.array([len(s) + i % 3 for i, s in enumerate(sets)], np.int64), r.random(280) < 0.3
+    merged, plain = [], ngram_join.merge_counts
+    monkeypatch.setattr(ngram_join, "merge_counts", lambda lists, weights: merged.append(sum(map(len, lists))) or plain(lists, weights))
+    for two in (False, True):
+        for values in (ngram_join.DENSE_VALUES, 280 * 7):
+            monkeypatch.setattr(ngram_join, "DENSE_VALUES", values)
+            i, j, x = ngram_join.search_cell(sets, sizes, two, side, 0.45)
+            shared = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in range(280) for b in range(a + 1, 280) if not two or side[a] != side[b]}
+            want = {k: n / (sizes[k[0]] + sizes[k[1]] - n) for k, n in shared.items() if n / (sizes[k[0]] + sizes[k[1]] - n) >= 0.45 - 1e-9}
+            assert dict(zip(zip(i.tolist(), j.tolist()), x.tolist())) == want and len(i) == len(want) > 10_000
+    assert sum(merged) < 4 * 280 * 279 / 2
+
+
+def test_copies_of_a_group_have_few_homes():
+    """Each copy shares an n-gram of its own with one other copy; those are no homes, though half of them have lesser hashes than all of the text."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(5)
+    base = np.sort(r.integers(1 << 46, 1 << 47, 30).astype(np.uint64))
+    sets = [np.r_[base, np.uint64(7 + i // 2 if i % 4 < 2 else (1 << 47) + i // 2)] for i in range(60)]
+    df = np.r_[np.full(30, 60), 2]
+    raw = ngram_join.Packed.write(np.arange(60, dtype=np.uint64), np.full(60, 31), (np.full(60, 31, np.uint32),), ngram_join.shortened(np.concatenate(sets)), np.tile(df, 60).astype(np.uint16))
+    rows = pa.Table.from_batches(list(ngram_join.class_rows([pa.py_buffer(raw)], [], 0.45)))
+    assert set(rows.column("home").to_pylist()) == {int(base[0])} and rows.num_rows == 60
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 102), (101, 102), (200, 201)]
     got = {r.node: r.root for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
