@@ -116,6 +116,30 @@ def test_bounds_of_the_sample(spark, docs):
     assert 0 < len(some) and sum(len(r.text.encode()) for r in some) <= 500
 
 
+def test_all_labelled_rows_are_learned_from(spark, docs):
+    """Each text has a word of its own; those of all texts but the held-out quarter are in the model. Before, those of 6,000 were."""
+    frame = docs([(i, f"own{i} more{i} {'bad' if i % 2 else 'good'}") for i in range(16_000)])
+    m = toxicity.fit(frame, spark.range(16_000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic"), epochs=1)
+    rows = 1 + (word_hashes(" ".join(f"own{i}" for i in range(16_000)).encode())[0] % np.uint64(toxicity.WORDS)).astype(np.int64)
+    assert (m.word[rows] != 0).any(axis=1).mean() > 0.73
+
+
+def test_blocks_and_partitions_of_the_labelled_rows(spark, corpus, monkeypatch):
+    """The model is the mean over blocks, whatever the partitions, and copies over all blocks count once."""
+    d, rows = corpus
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 130)
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    labels = labels.select("doc_id", "toxic").union(spark.createDataFrame([(1000 + i, 0) for i in range(20)], "doc_id long, toxic int"))
+    blocks = toxicity.blocks_of(docs, labels)
+    gone = {r["block"]: r["gone"] for r in toxicity.copies_of(blocks).collect()}
+    ids = {r["block"]: np.frombuffer(r["doc_id"], np.int64) for r in blocks.collect()}
+    assert len(ids) == 4 and {int(ids[b][i]) for b, at in gone.items() for i in at} == set(range(1000, 1020))
+    one, two = toxicity.fit(docs, labels), toxicity.fit(docs.repartition(7), labels)
+    assert all((a == b).all() for a, b in ((one.word, two.word), (one.prefix, two.prefix), (one.out, two.out))) and one.threshold == two.threshold and one.by_lang == two.by_lang
+    found = {r.doc_id for r in toxicity.classify(docs, one).where("tox_flag").collect()}
+    assert found >= {i for i in range(400, 600) if i % 6 == 0} and len(found) <= 105
+
+
 def test_columns_of_the_same_names_are_kept(corpus, spark):
     d, rows = corpus
     frame = spark.read.parquet(f"{d}/documents.parquet").selectExpr("*", "doc_id * 0.5 as tox_score", "'x' as TOX_FLAG")
