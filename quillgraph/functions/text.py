@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,7 +22,7 @@ _ONE = "".join(sorted({re.escape(c) for b in range(0x80, 0xC0) for c in (chr(b),
 _MOJIBAKE = re.compile(f"[ÂÃ][{_NEXT}]|Å“|Æ’|(?:[Ä-ß][{_NEXT}]){{2,}}|[Ä-Þ][{_ONE}]|[à-ï][{_NEXT}]{{2}}|[ð-ô][{_NEXT}]{{3}}")
 _ROUNDS = 4
 
-_ENTITY = re.compile(r"&#?[0-9A-Za-z]{1,24};")
+_ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][0-9A-Za-z]{0,31});")
 _ESCAPE = re.compile("\x1b\\[[0-9;]*[A-Za-z]")
 _LIGATURES = {"Ĳ": "IJ", "ĳ": "ij", "ŉ": "ʼn", "Ǆ": "DŽ", "ǅ": "Dž", "ǆ": "dž", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz"}
 _PLAIN = (
@@ -55,18 +56,27 @@ def decode_again(text: str) -> str:
     return text
 
 
+def _entity(found: re.Match) -> str:
+    return html.unescape(found[0]) if found[0][1] == "#" else html5.get(found[0][1:], found[0])
+
+
+def resolve(text: str) -> str:
+    """Entities, once. One without its semicolon is no entity: a text may be cut off, and ``?a=1&copy=2`` means what it says."""
+    return _ENTITY.sub(_entity, text)
+
+
 def repair(text: str) -> str:
     """Entities that were escaped twice (in a text without tags), terminal escapes, broken encoding, C1 controls, ligatures, wide forms, curly quotes, line ends,
     and control characters."""
     if "<" not in text:
-        text = _ENTITY.sub(lambda m: html.unescape(m[0]), text)
+        text = resolve(text)
     text = decode_again(_ESCAPE.sub("", text)).replace("\r\n", "\n")
     return text.translate({k: v for k, v in _C1.items() if k != 0x85}).translate(_PLAIN)
 
 
 def clean(text: str | None) -> str | None:
     """Entities resolved, broken text repaired, composed form, white space at the ends gone."""
-    return None if text is None else unicodedata.normalize("NFC", repair(html.unescape(text))).strip()
+    return None if text is None else unicodedata.normalize("NFC", repair(resolve(text))).strip()
 
 
 @F.pandas_udf(StringType())

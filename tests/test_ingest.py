@@ -212,6 +212,12 @@ def test_clean_column_is_clean(spark):
     assert got == [clean(t) for t in texts]
 
 
+def test_entities_end_with_a_semicolon():
+    for text in ("a&amp</title>", "a&amp", "?a=1&copy=2", "&#65 x", "&ampx; &nosuch; &am", "&;", "AT&T"):
+        assert clean(text) == text
+    assert [clean(x) for x in ("a&amp;amp</b>", "<&#65;&#x42;&copy;", "&CounterClockwiseContourIntegral;", "<i>&amp;amp;")] == ["a&amp</b>", "<AB©", "∳", "<i>&amp;"]
+
+
 def test_long_abstracts(spark):
     n = 30_000
     words = spark.range(n).selectExpr("map_from_arrays(array('even', 'odd'), array(sequence(0, cast(id as int) * 0 + 29998, 2), sequence(1, 29999, 2))) m").limit(1)
