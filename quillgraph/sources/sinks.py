@@ -14,14 +14,19 @@ def _hadoop(spark: SparkSession, path: str) -> tuple[Any, Any]:
 
 
 def write_table(df: DataFrame, path: str, compression: str = "zstd", mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
+    """With partition_by rows of a folder come together first, in pieces of AQE's advisory size: the writer sorts each task's rows by folder, so a task holds no more than such a piece,
+    and there is a file for each, not one of every folder for each task of df."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).option("compression", compression).partitionBy(*partition_by).parquet(path)
 
 
 def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int, compression: str = "zstd") -> None:
-    """A folder for each bucket of a key, one file in each; for readers that want co-located files. Deduplication itself doesn't need it."""
+    """A folder for each bucket of a key, with one file, or more where the bucket is larger than AQE's advisory size; for readers that want co-located files. Deduplication itself
+    doesn't need it."""
     from quillgraph.functions.ids import bucket
 
-    write_table(df.withColumn("bucket", bucket(keys, buckets)).repartition(buckets, "bucket"), path, compression, partition_by=("bucket",))
+    write_table(df.withColumn("bucket", bucket(keys, buckets)), path, compression, partition_by=("bucket",))
 
 
 def write_failures(df: DataFrame, path: str) -> None:

@@ -138,6 +138,25 @@ def test_stages_end_to_end(spark, folder, rows):
     assert spark.read.parquet(str(folder / "b")).where("bucket is not null").count() == 20
 
 
+def test_a_large_bucket_is_no_single_task(spark, tmp_path):
+    def most_in_a_file(name):
+        return max(r["count"] for r in spark.read.parquet(str(tmp_path / name)).groupBy("bucket", F.input_file_name()).count().collect())
+
+    df = spark.range(0, 200_000, 1, 16).select(F.col("id"), F.xxhash64("id").alias("x"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        sinks.write_bucketed(df, str(tmp_path / "many"), ["id"], 2)
+        assert most_in_a_file("many") < 50_000
+        sinks.write_table(df.withColumn("bucket", F.lit(0)).coalesce(16), str(tmp_path / "one"), partition_by=("bucket",))
+        assert most_in_a_file("one") < 50_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    sinks.write_bucketed(df, str(tmp_path / "few"), ["id"], 2)
+    assert [len(list((tmp_path / "few" / f"bucket={b}").glob("*.parquet"))) for b in (0, 1)] == [1, 1]
+    assert all(spark.read.parquet(str(tmp_path / x)).agg(F.sum("id"), F.count_distinct("id")).head() == (199_999 * 100_000, 200_000) for x in ("many", "one", "few"))
+
+
 def shard(folder, name, *ids):
     (folder / "in" / "works" / name).write_text("\n".join(json.dumps({"id": i, "publication_year": 2010}) for i in ids))
 
