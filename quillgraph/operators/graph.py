@@ -42,15 +42,22 @@ def by_reference(table: DataFrame, key: str, mentions: DataFrame) -> DataFrame:
     return table.join(mentions.select(key), key, "left_semi")
 
 
-def neighbourhood(tables: dict[str, DataFrame], seeds: list[str], keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
-    """All filtered tables, with seed_scores and work_ids. keep sees each table once it is defined, in order of use, and may return a stored copy for what builds on it."""
+def neighbourhood(
+    tables: dict[str, DataFrame], seeds: list[str], keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df, of_works: dict[str, Callable[[DataFrame], DataFrame]] | None = None
+) -> dict[str, DataFrame]:
+    """All filtered tables, with seed_scores and work_ids. keep sees each table once it is defined, in order of use, and may return a stored copy for what builds on it.
+
+    of_works: by name of a table that isn't stored, what makes the rows of given works (of edges, those with such a work at either end), from their distinct ids; so that its source
+    is filtered before it is joined and deduplicated.
+    """
+    of_works = of_works or {}
     seeded = keep("seed_scores", seed_scores(tables["scores"], seeds))
-    edges = keep("citation_edges", filtered_edges(tables["citation_edges"], seeded))
+    edges = keep("citation_edges", of_works["citation_edges"](seeded.select("work_id").distinct()) if "citation_edges" in of_works else filtered_edges(tables["citation_edges"], seeded))
     ids = keep("work_ids", work_ids(seeded, edges))
     out = {"seed_scores": seeded, "citation_edges": edges, "work_ids": ids}
     for name in ("works", *RELATIONS):
         if name in tables:
-            out[name] = keep(name, by_work(tables[name], ids))
+            out[name] = keep(name, of_works[name](ids) if name in of_works else by_work(tables[name], ids))
     for name, (key, base) in REFERENCES.items():
         if name in tables and base in out:
             out[name] = keep(name, by_reference(tables[name], key, out[base]))

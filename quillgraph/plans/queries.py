@@ -43,7 +43,7 @@ def _once(m: Model, name: str, df: DataFrame) -> DataFrame:
 
 
 def _filtered(m: Model, stored: set[str] = _BASES) -> dict[str, DataFrame]:
-    return graph.neighbourhood(m.tables(), SEEDS, lambda name, df: _once(m, name, df) if name in stored else df)
+    return graph.neighbourhood(m.tables(), SEEDS, lambda name, df: _once(m, name, df) if name in stored else df, m.of_works(lambda name, df: _once(m, name, df)))
 
 
 def _rounded(df: DataFrame) -> DataFrame:

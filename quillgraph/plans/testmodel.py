@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillgraph.operators import dedup
+from quillgraph.operators import dedup, graph
 
 SEEDS = ["C1", "C2"]
 THRESHOLD = 0.9
@@ -34,12 +34,15 @@ class Model:
     def scores_raw(self) -> DataFrame:
         return self.read("lineitem").select(_id("W", "l_partkey").alias("work_id"), _id("C", "l_suppkey").alias("concept_id"), F.round(F.col("l_discount") * 10, 2).alias("concept_score"), _day("l_shipdate").alias("snapshot_date"))
 
+    def scored(self) -> DataFrame:
+        return self.scores_raw().where(F.col("concept_score") >= THRESHOLD)
+
     def scores(self) -> DataFrame:
-        return dedup.dedup(self.scores_raw().where(F.col("concept_score") >= THRESHOLD), "scores")
+        return dedup.dedup(self.scored(), "scores")
 
-    def edges_raw(self) -> DataFrame:
+    def edges_raw(self, lines: DataFrame | None = None) -> DataFrame:
         """Consecutive returned lines of an order cite each other."""
-        lines = self.read("lineitem").where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_linestatus", "l_partkey", "l_shipdate")
+        lines = (lines or self.read("lineitem")).where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_linestatus", "l_partkey", "l_shipdate")
         a, b = lines.alias("a"), lines.withColumn("l_linenumber", F.col("l_linenumber") - 1).alias("b")
         pairs = a.join(b, ["l_orderkey", "l_linenumber", "l_linestatus"])
         return pairs.select(_id("W", "b.l_partkey").alias("cited_work_id"), _id("W", "a.l_partkey").alias("citing_work_id"), _day("a.l_shipdate").alias("snapshot_date"))
@@ -47,15 +50,16 @@ class Model:
     def edges(self) -> DataFrame:
         return dedup.dedup(self.edges_raw(), "citation_edges")
 
-    def works(self) -> DataFrame:
-        year = self.read("lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min(F.year("l_shipdate")).alias("publication_year"))
+    def works(self, lines: DataFrame | None = None) -> DataFrame:
+        year = (lines or self.read("lineitem")).groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min(F.year("l_shipdate")).alias("publication_year"))
         return self.read("part").join(year, "p_partkey", "left").select(
             _id("W", "p_partkey").alias("work_id"), "publication_year", F.col("p_brand").alias("source_id"), (F.col("p_size") % 2 == 0).alias("is_open_access"), (F.col("p_size") % 10 == 0).alias("is_retracted")
         )
 
-    def authorships_raw(self) -> DataFrame:
+    def authorships_raw(self, lines: DataFrame | None = None) -> DataFrame:
+        """lines: all of each order that has one among them."""
         last = F.max("l_linenumber").over(Window.partitionBy("l_orderkey"))
-        lines = self.read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", last.alias("last"))
+        lines = (lines or self.read("lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", last.alias("last"))
         joined = lines.join(self.read("orders").select("o_orderkey", "o_custkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
         position = F.when(F.col("l_linenumber") == 1, "first").when(F.col("l_linenumber") == F.col("last"), "last").otherwise("middle")
         return joined.select(
@@ -70,9 +74,9 @@ class Model:
     def authorships(self) -> DataFrame:
         return dedup.dedup(self.authorships_raw(), "authorships")
 
-    def affiliations_raw(self) -> DataFrame:
+    def affiliations_raw(self, authorships: DataFrame | None = None) -> DataFrame:
         home = self.read("customer").select(_id("A", "c_custkey").alias("author_id"), _id("I", "c_nationkey").alias("institution_id"))
-        return self.authorships_raw().select("work_id", "author_id", "snapshot_date").join(home, "author_id").select("work_id", "author_id", "institution_id", "snapshot_date")
+        return (authorships or self.authorships_raw()).select("work_id", "author_id", "snapshot_date").join(home, "author_id").select("work_id", "author_id", "institution_id", "snapshot_date")
 
     def affiliations(self) -> DataFrame:
         return dedup.dedup(self.affiliations_raw(), "affiliations")
@@ -104,6 +108,28 @@ class Model:
             "sources": self.sources(),
         }
 
+    def of_works(self, keep: Callable[[str, DataFrame], DataFrame]) -> dict[str, Callable[[DataFrame], DataFrame]]:
+        """For graph.neighbourhood: the same rows as those of tables() that belong to given works, from the lines of these works or of the orders that have one of them. keep stores
+        the orders, so that Spark knows whether they are few."""
+        lines = self.read("lineitem")
+
+        def own(ids: DataFrame) -> DataFrame:
+            return lines.withColumn("work_id", _id("W", "l_partkey")).join(ids, "work_id", "left_semi")
+
+        def whole_orders(name: str, ids: DataFrame) -> DataFrame:
+            return lines.join(keep(name, own(ids).select("l_orderkey").distinct()), "l_orderkey", "left_semi")
+
+        def authorships(ids: DataFrame) -> DataFrame:
+            return graph.by_work(self.authorships_raw(whole_orders("orders", ids)), ids)
+
+        return {
+            "scores": lambda ids: dedup.dedup(graph.by_work(self.scored(), ids), "scores"),
+            "citation_edges": lambda ids: dedup.dedup(graph.filtered_edges(self.edges_raw(whole_orders("seed_orders", ids)), ids), "citation_edges"),
+            "works": lambda ids: graph.by_work(self.works(own(ids)), ids),
+            "authorships": lambda ids: dedup.dedup(authorships(ids), "authorships"),
+            "affiliations": lambda ids: dedup.dedup(self.affiliations_raw(authorships(ids)), "affiliations"),
+        }
+
 
 _DAY = "strftime({}, '%Y-%m-%d')"
 _SEEDS = ", ".join(f"'{s}'" for s in SEEDS)
