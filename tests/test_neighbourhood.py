@@ -32,7 +32,7 @@ def met_whole(df):
     return found
 
 
-@pytest.mark.parametrize("name", ["scores", "works", "citation_edges", "affiliations"])
+@pytest.mark.parametrize("name", ["scores", "works", "citation_edges", "affiliations", "authorships"])
 def test_tables_of_works(model, ids, rows, name):
     made = model.of_works(lambda _, df: df)[name](ids)
     whole = model.tables()[name]
