@@ -38,11 +38,12 @@ def where_date(path: F.Column) -> F.Column:
 def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """lines with ``record`` and ``state``: ok, malformed (no JSON: to be skipped) or failed (JSON of another shape).
 
-    Whether a record that doesn't fit is JSON at all is only asked for such records.
+    Whether a record that doesn't fit is JSON at all is only asked for such records. The record stands behind a generator of one row: else Spark would parse the line anew for
+    every filter on a field of it.
     """
     wide = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     record = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    out = lines.withColumn("record", record)
+    out = lines.select("*", F.explode(F.array(record)).alias("record"))
     whole = F.trim("value").startswith("{") & F.col(f"record.{_BAD}").isNull()
     state = F.when(whole, "ok").when(F.get_json_object("value", "$").isNull(), "malformed").otherwise("failed")
     return out.withColumn("state", state)

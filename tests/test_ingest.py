@@ -66,6 +66,11 @@ def test_states_failures_and_years(parsed, rows):
     assert rows(kept.select("id", "year", "snapshot_date")) == [("W5", 2010, "2024-05-01"), ("W6", 2010, "2024-05-01"), ("https://x.org/W1", 2010, "2024-05-01")]
 
 
+def test_a_line_is_parsed_once(parsed):
+    for df in (generators.authorships(shards.works_in_range(parsed, 2005, 2024)), shards.failures(parsed), shards.staged(parsed)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
 def test_generators(spark, parsed, rows):
     one = shards.works_in_range(parsed, 2005, 2024)
     w = generators.works(one).where("work_id = 'W1'").head()
