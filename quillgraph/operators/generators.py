@@ -107,9 +107,13 @@ def selected_scores(records: DataFrame, chosen: SelectedConcepts) -> DataFrame:
     named = F.transform(listed, lambda c: F.struct(strip_id(c["id"]).alias("id"), c["score"].alias("score")))
     base = records.select(_work(), named.alias("c"), "snapshot_date")
     if chosen.get_all_concepts:
-        rows = base.select("work_id", F.posexplode("c").alias("at", "one"), "c", "snapshot_date")
-        last = ~F.expr("exists(slice(c, at + 2, size(c)), x -> x.id <=> one.id)")
-        return rows.where(last).select("work_id", F.col("one.id").alias("concept_id"), F.col("one.score").alias("concept_score"), "snapshot_date")
+        # sorted by id and place, the last of an id stands before another id or the end: n log n, and no row carries the list
+        placed = F.array_sort(F.transform("c", lambda x, at: F.struct(x["id"].alias("id"), at.alias("at"), x["score"].alias("score"))))
+        rows = base.select("work_id", F.explode(F.array(placed)).alias("c"), "snapshot_date")
+        after = F.concat(F.slice("c", F.lit(2), F.size("c")), F.array(F.lit(None).cast(rows.schema["c"].dataType.elementType)))
+        last = F.zip_with("c", after, lambda e, n: F.when(n.isNull() | ~n["id"].eqNullSafe(e["id"]), e))
+        rows = rows.select("work_id", F.explode(F.filter(last, lambda e: e.isNotNull())).alias("one"), "snapshot_date")
+        return rows.select("work_id", F.col("one.id").alias("concept_id"), F.col("one.score").alias("concept_score"), "snapshot_date")
     wanted = F.array(*(F.lit(x) for x in chosen.concept_ids)) if chosen.concept_ids else F.array().cast("array<string>")
     rows = base.select("work_id", F.explode(wanted).alias("concept_id"), "c", "snapshot_date").withColumn("hits", F.expr("filter(c, x -> x.id = concept_id)"))
     score = F.when(F.size("hits") == 0, F.lit(0.0)).otherwise(F.expr("try_element_at(hits, -1).score"))

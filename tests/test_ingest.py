@@ -97,6 +97,13 @@ def test_selected_scores(parsed, rows):
     assert rows(every) == [("W1", "C1", 0.7), ("W1", "C2", 0.1), ("W1", "C3", None)]
 
 
+def test_selected_scores_of_long_lists(spark, rows):
+    records = spark.range(1).selectExpr("'x/W1' id", "'d' snapshot_date", "transform(sequence(0, 59999), i -> named_struct('id', if(i % 20000 = 7, null, 'x/C' || i % 20000), 'score', double(i))) concepts")
+    none = records.selectExpr("'W2' id", "snapshot_date", "slice(concepts, 1, 0) concepts").union(records.selectExpr("'W3' id", "snapshot_date", "null concepts"))
+    got = rows(generators.selected_scores(records.union(none), SelectedConcepts(get_all_concepts=True)).select("work_id", "concept_id", "concept_score"))
+    assert got == sorted((("W1", None if i == 7 else f"C{i}", 40_000.0 + i) for i in range(20_000)), key=repr)
+
+
 def test_functions(spark, rows):
     df = spark.createDataFrame([("https://x.org/W1",), ("W1",), ("a/",), (None,)], "x string")
     assert [r[0] for r in df.select(strip_id("x")).collect()] == ["W1", "W1", "", None]
