@@ -35,7 +35,8 @@ _PLAIN = (
     | {chr(c): None for c in [*range(0x00, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F, *range(0x206A, 0x2070), 0xFEFF, *range(0xFFF9, 0xFFFD)]}
 )
 _PLAIN = str.maketrans(_PLAIN)
-_C1 = str.maketrans({chr(b): _SHOWN[b] for b in range(0x80, 0xA0)})
+_CHARACTERS = _PLAIN | {b: _SHOWN[b].translate(_PLAIN) for b in range(0x80, 0xA0) if b != 0x85}
+_NOT_PLAIN = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(_CHARACTERS)) + "]")
 
 
 def _decoded(found: re.Match) -> str:
@@ -48,7 +49,7 @@ def _decoded(found: re.Match) -> str:
 def decode_again(text: str) -> str:
     """UTF-8 that was read as Windows-1252 or Latin-1, once or several times, is put right where the characters can hardly be anything else: sequences of three and four bytes,
     of several pairs, pairs that begin with Â or Ã, and single other pairs unless the second is a mark that often stands behind a capital (but œ and ƒ)."""
-    for _ in range(_ROUNDS):
+    for _ in range(0 if text.isascii() else _ROUNDS):
         new = _MOJIBAKE.sub(_decoded, text)
         if new == text:
             break
@@ -71,7 +72,7 @@ def repair(text: str) -> str:
     if "<" not in text:
         text = resolve(text)
     text = decode_again(_ESCAPE.sub("", text)).replace("\r\n", "\n")
-    return text.translate({k: v for k, v in _C1.items() if k != 0x85}).translate(_PLAIN)
+    return text.translate(_CHARACTERS) if _NOT_PLAIN.search(text) else text
 
 
 def clean(text: str | None) -> str | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,23 +44,38 @@ def _cases(of: Column, *values: str) -> Column:
     return out
 
 
+def _filled(template: str, *values: Column | str) -> Column:
+    """format_string() of a template with %s and %d only, without a formatter for each row."""
+    first, *rest = re.split("%[sd]", template)
+    out = [F.lit(first)]
+    for value, text in zip(values, rest, strict=True):
+        out += [F.coalesce((F.col(value) if isinstance(value, str) else value).cast("string"), F.lit("null")), F.lit(text)]
+    return F.concat(*out)
+
+
+def _dated(df: DataFrame, key: str) -> DataFrame:
+    """df with its rows' dates, in their order: the writer of dated folders wants it, and would sort the long lines if the rows that they are made of weren't sorted before."""
+    date = F.coalesce(F.concat(F.lit("2024-05-0"), F.col(key) % 3 + 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return df.withColumn("updated_date", date).sortWithinPartitions("updated_date")
+
+
 def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value, updated_date)"""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = _dated(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"), "o_orderkey")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    place = F.when(c % 7 == 0, "null").when(c % 7 == 1, '{"source": {}}').otherwise(F.format_string(_SOURCE, c % 100))
+    place = F.when(c % 7 == 0, "null").when(c % 7 == 1, '{"source": {}}').otherwise(_filled(_SOURCE, c % 100))
     year = _cases(k % 6, "2010", '"2011"', "2012.7", '"soon"', "null", "1990")
     many = F.when(k % 50 == 15, '"many"').otherwise(c.cast("string"))
-    whole = F.format_string(_WORK, k, year, "o_orderpriority", "o_orderstatus", many, k, k, F.when(k % 2 == 0, "true").otherwise("false"), place, k + 1, k * 2, c, c % 25, c % 25, c % 50, F.when(k % 3 == 0, "0.125").otherwise("0.75"), c % 50)
+    whole = _filled(_WORK, k, year, "o_orderpriority", "o_orderstatus", many, k, k, F.when(k % 2 == 0, "true").otherwise("false"), place, k + 1, k * 2, c, c % 25, c % 25, c % 50, F.when(k % 3 == 0, "0.125").otherwise("0.75"), c % 50)
     value = F.when(k % 50 == 13, "{broken").when(k % 50 == 14, "[1, 2]").when(k % 50 == 16, " ").otherwise(whole)
-    return o.select(value.alias("value"), F.concat(F.lit("2024-05-0"), k % 3 + 1).alias("updated_date"))
+    return o.select(value.alias("value"), "updated_date")
 
 
 def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = _dated(spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name"), "c_custkey")
     k = F.col("c_custkey")
-    line = F.format_string('{"id": "https://x.org/A%d", "display_name": " %s ", "works_count": %d, "cited_by_count": %d, "summary_stats": %s}', k, "c_name", k % 10, k % 100, F.when(k % 4 == 0, "null").otherwise(F.format_string('{"h_index": %d}', k % 5)))
-    return c.select(line.alias("value"), F.concat(F.lit("2024-05-0"), k % 3 + 1).alias("updated_date"))
+    line = _filled('{"id": "https://x.org/A%d", "display_name": " %s ", "works_count": %d, "cited_by_count": %d, "summary_stats": %s}', k, "c_name", k % 10, k % 100, F.when(k % 4 == 0, "null").otherwise(_filled('{"h_index": %d}', k % 5)))
+    return c.select(line.alias("value"), "updated_date")
 
 
 def _read(lines: DataFrame, kind: str) -> DataFrame:

@@ -5,7 +5,7 @@ from quillgraph.config import SelectedConcepts, Settings, from_dict, valid_seeds
 from quillgraph.functions.ids import shard_name, snapshot_date, strip_id
 from quillgraph.functions.text import clean, clean_text, decode_again, invert_abstract
 from quillgraph.operators import generators
-from quillgraph.plans import runner
+from quillgraph.plans import ingestqueries, runner
 from quillgraph.schemas import raw_work
 from quillgraph.sources import shards, sinks
 from quillgraph.streaming import ingest
@@ -104,6 +104,12 @@ def test_selected_scores_of_long_lists(spark, rows):
     assert got == sorted((("W1", None if i == 7 else f"C{i}", 40_000.0 + i) for i in range(20_000)), key=repr)
 
 
+def test_lines_are_written_as_they_are_made(spark):
+    for lines in (ingestqueries.work_lines(spark, "/root/testdata/sf0.001"), ingestqueries.author_lines(spark, "/root/testdata/sf0.001")):
+        order = lines._jdf.queryExecution().optimizedPlan().outputOrdering()
+        assert order.size() and order.apply(0).child().name() == "updated_date" and not lines.schema["updated_date"].nullable  # else the writer sorts the long lines
+
+
 def test_functions(spark, rows):
     df = spark.createDataFrame([("https://x.org/W1",), ("W1",), ("a/",), (None,)], "x string")
     assert [r[0] for r in df.select(strip_id("x")).collect()] == ["W1", "W1", "", None]
